@@ -17,22 +17,33 @@ FUNCTION_WORDS = {
 }
 
 
+def _found_words(text: Column, words: Mapping[str, Sequence[str]]) -> Column:
+    """The function words of any language that occur in the whole text: one pass, a short array."""
+    every = list(dict.fromkeys(w for ws in words.values() for w in ws))
+    return F.array_intersect(F.split(F.lower(text), r"[^\p{L}]+"), F.array(*[F.lit(w) for w in every]))
+
+
+def _votes(found: Column, words: Sequence[str]) -> Column:
+    return F.size(F.array_intersect(found, F.array(*[F.lit(w) for w in words]))).cast("long")
+
+
 def language_votes(text: Column | str, words: Mapping[str, Sequence[str]] = FUNCTION_WORDS) -> dict[str, Column]:
     """Per language, how many of its function words occur in the whole text."""
-    tokens = F.split(F.lower(col(text)), r"[^\p{L}]+")
-    return {
-        lang: F.size(F.array_intersect(tokens, F.array(*[F.lit(w) for w in ws]))).cast("long")
-        for lang, ws in words.items()
-    }
+    found = _found_words(col(text), words)
+    return {lang: _votes(found, ws) for lang, ws in words.items()}
 
 
 def detect_language(text: Column | str, words: Mapping[str, Sequence[str]] = FUNCTION_WORDS) -> Column:
     """Language with most votes; 'unknown' on a tie for the lead or without any vote."""
-    votes = language_votes(text, words)
-    ballots = F.array(*[F.struct(v.alias("votes"), F.lit(lang).alias("lang")) for lang, v in votes.items()])
-    # One-element array: the ballots are counted once and then looked at twice.
+
+    def ballots(found: Column) -> Column:
+        rows = [F.struct(_votes(found, ws).alias("votes"), F.lit(lang).alias("lang")) for lang, ws in words.items()]
+        return F.sort_array(F.array(*rows), asc=False)
+
+    # One-element arrays: the words are looked up once, the ballots counted once, whatever reads them.
+    counted = F.transform(F.array(_found_words(col(text), words)), ballots)
     winner = F.transform(
-        F.array(F.sort_array(ballots, asc=False)),
-        lambda b: F.when((b[0]["votes"] > 0) & (b[0]["votes"] > b[1]["votes"]), b[0]["lang"]).otherwise("unknown"),
+        counted,
+        lambda b: F.when((b[0]["votes"] > 0) & (b[0]["votes"] > F.coalesce(F.get(b, F.lit(1))["votes"], F.lit(0))), b[0]["lang"]),
     )
     return F.coalesce(winner[0], F.lit("unknown"))

@@ -122,12 +122,11 @@ def first_index_row(index: DataFrame) -> DataFrame:
     return first_per_key(index, ["filename", "url"], ["timestamp", "offset"])
 
 
-def attach_index_row(articles: DataFrame, index: DataFrame) -> DataFrame:
-    """Articles (with filename) with the stamp of their index row; '' where there is none."""
-    stamps = first_index_row(index.select("filename", "url", "timestamp", "offset")).drop("offset")
-    return articles.join(stamps, ["filename", "url"], "left").withColumn(
-        "timestamp", F.coalesce("timestamp", F.lit(""))
-    )
+def attach_index_row(articles: DataFrame, index: DataFrame, fields: Sequence[str] = ("timestamp",)) -> DataFrame:
+    """Articles (with filename) with ``fields`` of their index row; '' where there is none."""
+    columns = dict.fromkeys(["filename", "url", "timestamp", "offset", *fields])
+    rows = first_index_row(index.select(*columns)).select("filename", "url", *fields)
+    return articles.join(rows, ["filename", "url"], "left").na.fill("", list(fields))
 
 
 def target_records(records: DataFrame, index: DataFrame) -> DataFrame:

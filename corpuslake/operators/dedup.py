@@ -20,11 +20,14 @@ def dedup_first(rows: DataFrame) -> DataFrame:
     return first_per_key(rows, ["content_hash"], DEDUP_ORDER)
 
 
-def anti_existing_hash(rows: DataFrame, stored: DataFrame) -> DataFrame:
+def anti_existing_hash(rows: DataFrame, stored: DataFrame, rows_are_cheap: bool = False) -> DataFrame:
     """Rows whose content is not stored yet.
 
-    The stored hashes are first reduced to those the batch holds, so a small batch is what gets
-    broadcast, if its size allows, and never the big table's hash column.
+    With ``rows_are_cheap`` (a batch that lies in a table) the stored hashes are first reduced to those
+    the batch holds. Then a small batch is what gets broadcast, if its size allows, and the big
+    table's hash column is read but not shuffled. Without it ``rows`` is evaluated only once.
     """
-    hits = stored.select("content_hash").join(rows.select("content_hash"), "content_hash", "left_semi")
-    return rows.join(hits, "content_hash", "left_anti")
+    known = stored.select("content_hash")
+    if rows_are_cheap:
+        known = known.join(rows.select("content_hash"), "content_hash", "left_semi")
+    return rows.join(known, "content_hash", "left_anti")

@@ -155,7 +155,7 @@ def pivot_day_source(articles: DataFrame, sources: Sequence[str]) -> DataFrame:
         daily.groupBy("publish_date")
         .pivot("source_domain", list(sources))
         .agg(F.first("article_count"))
-        .na.fill(0, list(sources))
+        .na.fill(0)
     )
 
 

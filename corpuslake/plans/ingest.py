@@ -15,7 +15,7 @@ from ..session import scratch_path
 from ..sinks.articles import BatchResult, insert_batch
 from ..sinks.ledgers import mark_files, mark_pairs, quarantine
 from ..sources.tables import scan_articles, scan_ledger_files, scan_ledger_pairs
-from ..sources.warc import read_ranges, unreadable
+from ..sources.warc import UNREADABLE, read_ranges, unreadable
 
 
 @dataclass(frozen=True)
@@ -60,10 +60,9 @@ def select_targets(
     return cdx.files_top_n(rows, max_files)
 
 
-def stamped_articles(extracted: DataFrame, targets: DataFrame, parity: bool = False) -> DataFrame:
-    """Extracted pages (with filename) joined to their first index row for crawl, stamp and publish date."""
-    stamps = cdx.first_index_row(targets.select("filename", "url", "timestamp", "offset", "crawl_id"))
-    rows = extracted.join(stamps.drop("offset"), ["filename", "url"], "left").na.fill("", ["timestamp", "crawl_id"])
+def stamped_articles(pages: DataFrame, targets: DataFrame, parity: bool = False) -> DataFrame:
+    """Extracted pages (with filename) with crawl, stamp and publish date of their index row."""
+    rows = cdx.attach_index_row(pages, targets, ["timestamp", "crawl_id"])
     return rows.withColumn("publish_date", cdx_publish_date("timestamp", parity))
 
 
@@ -88,8 +87,9 @@ def run_build(
 ) -> BatchResult:
     """One resumable build over every (crawl, pattern) pair that is left.
 
-    All pairs run as one job. Files and pairs are marked after the articles are stored, so a run that
-    dies is repeated, and content already stored is not stored again.
+    All pairs run as one job. Archives are read and pages parsed once, into shared storage. Files and
+    pairs are marked after the articles are stored, and only if all their records could be read, so a run
+    that dies is repeated, and content already stored is not stored again.
     """
     rules = cdx.pattern_table(spark, patterns)
     pairs = progress.pairs_cross(rules, crawl_ids)
@@ -103,25 +103,29 @@ def run_build(
     targets = spark.read.schema(targets.schema).parquet(plan_path)
 
     tasks = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    records = cdx.target_records(read_ranges(targets, warc_base, tasks).filter("warc_type = 'response'"), targets)
+    records = read_ranges(targets, warc_base, tasks).filter(F.col("warc_type").isin("response", UNREADABLE))
     extracted = extract.extract_pages(
-        records, min_chars=min_chars, max_chars=max_chars, languages=languages, keep=["filename"]
+        records.withColumn("error", F.col("headers")["error"]),
+        min_chars=min_chars, max_chars=max_chars, languages=languages, keep=["filename", "warc_type", "error"],
     )
     page_path = scratch_path(spark, "pages")
     extracted.write.parquet(page_path)
     extracted = spark.read.schema(extracted.schema).parquet(page_path)
 
-    result = insert_batch(stamped_articles(extract.accepted(extracted), targets, parity), store.articles, batch_id)
-    quarantine(extract.rejected(extracted), store.errors)
+    damaged = extracted.filter(F.col("warc_type") == UNREADABLE)
+    pages = extracted.filter(F.col("warc_type") == "response").drop("warc_type", "error")
+    pages = pages.join(targets.select("url"), "url", "left_semi")
+    result = insert_batch(stamped_articles(extract.accepted(pages), targets, parity), store.articles, batch_id)
+    quarantine(unreadable(damaged).unionByName(extract.rejected(pages)), store.errors)
+
+    failed = damaged.select("filename").distinct()
+    done = targets.select(*cdx.PAIR, "filename").distinct().join(failed, "filename", "left_anti")
+    mark_files(done, store.files)
+    open_pairs = targets.join(failed, "filename", "left_semi").select(*cdx.PAIR).distinct()
     stored = scan_articles(spark, store.articles).filter(F.col("batch_id") == batch_id)
     by_pair = stored.select("url", "crawl_id").join(
         targets.select("url", *cdx.PAIR).distinct(), ["url", "crawl_id"]
     ).groupBy(*cdx.PAIR).agg(F.count(F.lit(1)).alias("articles_inserted"))
-    mark_files(targets.select(*cdx.PAIR, "filename").distinct(), store.files)
-    mark_pairs(pairs.join(by_pair, cdx.PAIR, "left").na.fill(0, ["articles_inserted"]), store.pairs)
+    finished = pairs.join(open_pairs, cdx.PAIR, "left_anti").join(by_pair, cdx.PAIR, "left")
+    mark_pairs(finished.na.fill(0, ["articles_inserted"]), store.pairs)
     return result
-
-
-def damaged(spark: SparkSession, targets: DataFrame, warc_base: str, partitions: int) -> DataFrame:
-    """Ranges that could not be read, as rows of the error table."""
-    return unreadable(read_ranges(targets, warc_base, partitions))

@@ -24,7 +24,10 @@ _LANGUAGE = f"""SELECT url, CASE WHEN {_BEST} = 0 OR {_LEADERS} > 1 THEN 'unknow
                 FROM (SELECT url, {_VOTES} FROM (SELECT url, {_TOKENS} AS t FROM articles))"""
 
 # Text of the first <article>: hidden elements and comments out, split at tags, pieces stripped and joined.
-_ENTITIES = "replace(replace(replace(replace(replace({0}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&nbsp;', chr(160)), '&amp;', '&')"
+# The closing semicolon of these names may be missing in HTML.
+_ENTITIES = "{0}"
+for _name, _char in (("lt", "'<'"), ("gt", "'>'"), ("quot", "chr(34)"), ("nbsp", "chr(160)"), ("amp", "'&'")):
+    _ENTITIES = f"regexp_replace({_ENTITIES}, '&{_name};?', {_char}, 'g')"
 _ARTICLE = r"regexp_extract(html, '<article[^>]*>(.*?)</article>', 1, 's')"
 _VISIBLE = (
     r"regexp_replace(regexp_replace({0}, '<!--.*?-->', '<i>', 'gs'), "

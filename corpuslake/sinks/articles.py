@@ -68,7 +68,8 @@ def insert_batch(rows: DataFrame, path: str, batch_id: int) -> BatchResult:
     )
     place = F.struct("timestamp", "url", "_file", "_row")
     winners = staged.groupBy("content_hash").agg(F.min(place).alias("w"))
-    anti_existing_hash(winners, scan_articles(spark, path)).select("w._file", "w._row").write.parquet(places)
+    new = anti_existing_hash(winners, scan_articles(spark, path), rows_are_cheap=True)
+    new.select("w._file", "w._row").write.parquet(places)
 
     # Both counts come from Parquet footers.
     fresh = spark.read.schema("_file string, _row long").parquet(places)

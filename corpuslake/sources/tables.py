@@ -66,7 +66,7 @@ def scan_quarantine(spark: SparkSession, path: str) -> DataFrame:
 def scan_progress(spark: SparkSession, path: str) -> DataFrame:
     """Checkpoint documents (one JSON object per file); none if missing or unreadable."""
     try:
-        lines = spark.read.option("wholetext", True).text(path)
+        lines = spark.read.text(path, wholetext=True)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -77,7 +77,7 @@ def scan_progress(spark: SparkSession, path: str) -> DataFrame:
 def parse_progress(lines: DataFrame, column: str = "value") -> DataFrame:
     """Checkpoint JSON text -> typed columns; broken documents are dropped, missing fields are empty."""
     state = F.from_json(column, CHECKPOINT, {"mode": "PERMISSIVE"})
-    valid = F.try_parse_json(column).isNotNull()
+    valid = F.try_parse_json(column).isNotNull() & F.col(column).rlike(r"^\s*\{")
     none = F.array().cast("array<string>")
     return lines.filter(valid).select(state.alias("s")).select(
         F.coalesce("s.completed_crawl_domain_pairs", none).alias("completed_crawl_domain_pairs"),

@@ -118,8 +118,9 @@ def _frames(records: Iterable[Record], max_bytes: int = 64 << 20) -> Iterator[pd
 
 def unreadable(records: DataFrame) -> DataFrame:
     """Damaged files and ranges as rows of the error table."""
+    error = F.col("error") if "error" in records.columns else F.col("headers")["error"]
     return records.filter(F.col("warc_type") == UNREADABLE).select(
         F.lit("download_failed").alias("error_type"),
-        F.col("headers")["error"].alias("message"),
+        error.alias("message"),
         F.create_map(F.lit("filename"), F.col("filename")).alias("context"),
     )

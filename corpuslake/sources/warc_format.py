@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gzip
 import io
 import zlib
 from collections.abc import Iterator
@@ -14,11 +13,41 @@ Record = tuple[str, str, str, str, dict[str, str], str, bytes]
 UNREADABLE = "unreadable"
 
 
+class GzipMembers(io.RawIOBase):
+    """Concatenated gzip members as one stream. Unlike ``gzip`` it hands out all whole members before it
+    raises for a damaged one."""
+
+    def __init__(self, raw: BinaryIO, chunk: int = 1 << 16) -> None:
+        self._raw, self._chunk = raw, chunk
+        self._member = None
+        self._ready = b""
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, target) -> int:
+        while not self._ready:
+            if self._member is None or self._member.eof:
+                rest = self._member.unused_data.lstrip(b"\0") if self._member else b""
+                data = rest or self._raw.read(self._chunk)
+                if not data:
+                    return 0
+                self._member = zlib.decompressobj(31)
+            else:
+                data = self._raw.read(self._chunk)
+                if not data:
+                    raise EOFError("gzip member cut short")
+            self._ready = self._member.decompress(data)
+        n = min(len(target), len(self._ready))
+        target[:n], self._ready = self._ready[:n], self._ready[n:]
+        return n
+
+
 def open_stream(raw: BinaryIO) -> BinaryIO:
     """Decompressed stream; one gzip member per record is the usual layout."""
     head = raw.read(2)
     raw.seek(-len(head), io.SEEK_CUR)
-    return io.BufferedReader(gzip.GzipFile(fileobj=raw)) if head == b"\x1f\x8b" else raw
+    return io.BufferedReader(GzipMembers(raw)) if head == b"\x1f\x8b" else raw
 
 
 def _header_block(stream: BinaryIO) -> dict[str, str]:
