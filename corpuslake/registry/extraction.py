@@ -8,7 +8,9 @@ from ..operators import cdx as c
 from ..operators import extract as x
 from . import Query
 
-_O = F.col("outline")
+def _outline():
+    return F.col("outline")
+
 
 
 def _list(words: list[str]) -> str:
@@ -47,18 +49,18 @@ _PAGES = f"SELECT url, {_TEXT} AS content FROM pages"
 QUERIES = {
     "decode_utf8": Query(
         lambda v: x.with_outline(v.pages.select("url", F.col("html").cast("binary").alias("html"))).select(
-            "url", x.extract_title(_O).alias("title")
+            "url", x.extract_title(_outline()).alias("title")
         ),
         _TITLES,
     ),
     "extract_title": Query(
-        lambda v: x.with_outline(v.pages).select("url", x.extract_title(_O).alias("title")),
+        lambda v: x.with_outline(v.pages).select("url", x.extract_title(_outline()).alias("title")),
         _TITLES,
     ),
     "extract_main_text": Query(
-        lambda v: x.with_outline(v.pages).select("url", x.extract_main_text(_O, 0).alias("content")), _PAGES
+        lambda v: x.with_outline(v.pages).select("url", x.extract_main_text(_outline(), 0).alias("content")), _PAGES
     ),
-    "longest_block": Query(lambda v: x.with_outline(v.pages).select("url", x.longest_block(_O).alias("block"))),
+    "longest_block": Query(lambda v: x.with_outline(v.pages).select("url", x.longest_block(_outline()).alias("block"))),
     "detect_language": Query(
         lambda v: v.articles.select("url", detect_language("content").alias("guess")), _LANGUAGE
     ),
