@@ -7,15 +7,17 @@ from pyspark.sql import functions as F
 
 from .text import col, default_empty
 
-_AUTHORITY = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)"
+# Leading control characters and a scheme, then the network location; its brackets come in pairs or not at all.
+_AUTHORITY = (
+    r"^[\x00-\x20]*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//"
+    r"([^/?#\[\]]*(?:\[[^/?#]*\][^/?#\[\]]*)?)(?:[/?#]|$)"
+)
 CRAWL_ID = r"^CC-MAIN-\d{4}-\d+$"
 
 
 def authority(url: Column | str) -> Column:
     """Network location of a URL as written; '' where there is none or its brackets do not pair."""
-    clean = F.regexp_replace(F.translate(default_empty(url), "\t\r\n", ""), r"^[\x00-\x20]+", "")
-    netloc = F.regexp_extract(clean, _AUTHORITY, 1)
-    return F.when(F.contains(netloc, F.lit("[")) == F.contains(netloc, F.lit("]")), netloc).otherwise("")
+    return F.regexp_extract(F.translate(default_empty(url), "\t\r\n", ""), _AUTHORITY, 1)
 
 
 def source_domain(url: Column | str) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +16,12 @@ PAIR = ["crawl_id", "domain_pattern"]
 
 
 def pattern_table(spark: SparkSession, patterns: Sequence[str] = DOMAIN_PATTERNS) -> DataFrame:
-    """Host patterns as a table (domain_pattern)."""
-    return spark.createDataFrame([(p,) for p in dict.fromkeys(patterns)], "domain_pattern string")
+    """Host patterns as a table (domain_pattern).
+
+    Built from Arrow data, it becomes a local relation of known size, so Spark broadcasts it while it is
+    small; a table made from Python rows has no size and would make the index shuffle.
+    """
+    return spark.createDataFrame(pa.table({"domain_pattern": list(dict.fromkeys(patterns))}))
 
 
 def domain_match(index: DataFrame, patterns: DataFrame) -> DataFrame:
@@ -88,12 +93,13 @@ def urls_top_n(index: DataFrame, limit: int, keys: Sequence[str] = PAIR) -> Data
 def files_top_n(index: DataFrame, max_files: int | None, keys: Sequence[str] = PAIR) -> DataFrame:
     """Rows of the first ``max_files`` archive files of each pair.
 
-    Files are made distinct before they are ranked, so a pair's row count does not matter.
+    Files are made distinct before they are ranked, and each task ranks only its own first ones, so
+    neither a pair's rows nor its files pile up in one task.
     """
     if not max_files:
         return index
     files = nonempty_filename(index).select(*keys, "filename").distinct()
-    kept = top_n_per_key(files, keys, ["filename"], max_files, salt=["filename"])
+    kept = top_n_per_key(files, keys, ["filename"], max_files)
     return index.join(kept, [*keys, "filename"], "left_semi")
 
 

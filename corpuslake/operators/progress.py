@@ -40,7 +40,7 @@ def missing_by_crawl(pairs: DataFrame, ledger_pairs: DataFrame, show: int = 3) -
 
 def missing_top_n(pairs: DataFrame, ledger_pairs: DataFrame, n: int = 3) -> DataFrame:
     missing = remaining_work(pairs, ledger_pairs).select(*PAIR)
-    return top_n_per_key(missing, ["crawl_id"], ["domain_pattern"], n, salt=["domain_pattern"])
+    return top_n_per_key(missing, ["crawl_id"], ["domain_pattern"], n)
 
 
 def progress_summary(pairs: DataFrame, ledger_pairs: DataFrame) -> DataFrame:

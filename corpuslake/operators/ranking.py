@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALT_BUCKETS = 64
+SALT_BUCKETS = 512
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -30,8 +30,9 @@ def top_n_per_key(
 ) -> DataFrame:
     """First ``n`` rows of each key, exactly.
 
-    With ``salt`` columns the key is first cut into ``buckets`` parts that keep ``n`` rows each; the
-    second round then sees at most ``n * buckets`` rows of a key, whatever the key's size.
+    For ``n`` up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000) every map task forwards only
+    its own first ``n`` rows. With ``salt`` columns the key is first cut into ``buckets`` parts that keep
+    ``n`` rows each, so that no task sees a whole key for larger ``n`` either.
     """
     if n < 1:
         return df.limit(0)

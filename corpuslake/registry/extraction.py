@@ -17,13 +17,19 @@ def _list(words: list[str]) -> str:
     return "[" + ", ".join(f"'{w}'" for w in words) + "]"
 
 
-_TOKENS = r"string_split_regex(lower(content), '[^\p{L}]+')"
 _VOTES = ", ".join(f"len(list_intersect(t, {_list(w)})) AS {lang}" for lang, w in FUNCTION_WORDS.items())
 _BEST = f"greatest({', '.join(FUNCTION_WORDS)})"
 _LEADERS = " + ".join(f"cast({lang} = {_BEST} AS int)" for lang in FUNCTION_WORDS)
 _LANG_CASE = " ".join(f"WHEN {lang} = {_BEST} THEN '{lang}'" for lang in FUNCTION_WORDS)
-_LANGUAGE = f"""SELECT url, CASE WHEN {_BEST} = 0 OR {_LEADERS} > 1 THEN 'unknown' {_LANG_CASE} END AS guess
-                FROM (SELECT url, {_VOTES} FROM (SELECT url, {_TOKENS} AS t FROM articles))"""
+
+
+def _language(table: str) -> str:
+    tokens = r"string_split_regex(lower(content), '[^\p{L}]+')"
+    return f"""SELECT url, CASE WHEN {_BEST} = 0 OR {_LEADERS} > 1 THEN 'unknown' {_LANG_CASE} END AS guess
+               FROM (SELECT url, {_VOTES} FROM (SELECT url, {tokens} AS t FROM {table}))"""
+
+
+_LANGUAGE = _language("articles")
 
 # Text of the first <article>: hidden elements and comments out, split at tags, pieces stripped and joined.
 # The closing semicolon of these names may be missing in HTML.
@@ -35,16 +41,34 @@ _VISIBLE = (
     r"regexp_replace(regexp_replace({0}, '<!--.*?-->', '<i>', 'gs'), "
     r"'<(script|style|nav|footer|header|aside)\b.*?</(script|style|nav|footer|header|aside)>', '<i>', 'gs')"
 )
-_TEXT = (
-    "array_to_string(list_filter(list_transform(string_split_regex("
-    + _VISIBLE.format(_ARTICLE)
-    + r", '<[^>]*>'), lambda s: regexp_replace("
-    + _ENTITIES.format("s")
-    + r", '^\s+|\s+$', '', 'g')), lambda s: s <> ''), ' ')"
-)
+
+
+def _text(html: str) -> str:
+    """SQL for the visible text of some HTML."""
+    pieces = f"string_split_regex({html}, '<[^>]*>')"
+    clean = f"regexp_replace({_ENTITIES.format('s')}, '^\\s+|\\s+$', '', 'g')"
+    return f"array_to_string(list_filter(list_transform({pieces}, lambda s: {clean}), lambda s: s <> ''), ' ')"
+
+
 _TITLE = "regexp_extract(html, '<title>([^<]*)', 1)"
 _TITLES = f"SELECT url, trim({_ENTITIES.format(_TITLE)}) AS title FROM pages"
-_PAGES = f"SELECT url, {_TEXT} AS content FROM pages"
+_PAGES = f"SELECT url, {_text(_VISIBLE.format(_ARTICLE))} AS content FROM pages"
+
+# Blocks: what follows an opening p or div up to the tag that ends it. In the given pages no div holds a block.
+_BLOCKS = f"""
+  visible AS (SELECT url, {_VISIBLE.format('html')} AS html FROM pages),
+  pieces AS (SELECT url, unnest(p) AS html, generate_subscripts(p, 1) AS pos FROM
+               (SELECT url, string_split_regex(html, '<(?:p|div)(?: [^>]*)?>') AS p FROM visible)),
+  blocks AS (SELECT url, pos, {_text("regexp_replace(html, '(</p>|</div>|</article>).*$', '', 's')")} AS block
+             FROM pieces WHERE pos > 1),
+  longest AS (SELECT url, block FROM
+               (SELECT *, row_number() OVER (PARTITION BY url ORDER BY length(block) DESC, pos) AS rn
+                FROM blocks WHERE length(block) > 100) WHERE rn = 1)"""
+_EXTRACTED = f"""{_BLOCKS},
+  texts AS (SELECT url, CASE WHEN length(a) > 100 THEN a WHEN block IS NOT NULL THEN block ELSE w END AS content
+            FROM ({_PAGES.replace(' AS content', ' AS a')}) LEFT JOIN longest USING (url)
+            JOIN (SELECT url, {_text('html')} AS w FROM visible) USING (url)),
+  guessed AS ({_language('texts')})"""
 
 QUERIES = {
     "decode_utf8": Query(
@@ -60,7 +84,10 @@ QUERIES = {
     "extract_main_text": Query(
         lambda v: x.with_outline(v.pages).select("url", x.extract_main_text(_outline(), 0).alias("content")), _PAGES
     ),
-    "longest_block": Query(lambda v: x.with_outline(v.pages).select("url", x.longest_block(_outline()).alias("block"))),
+    "longest_block": Query(
+        lambda v: x.with_outline(v.pages).select("url", x.longest_block(_outline()).alias("block")),
+        f"WITH {_BLOCKS} SELECT url, block FROM pages LEFT JOIN longest USING (url)",
+    ),
     "detect_language": Query(
         lambda v: v.articles.select("url", detect_language("content").alias("guess")), _LANGUAGE
     ),
@@ -96,8 +123,20 @@ QUERIES = {
         lambda v: x.extract_articles(
             v.warc_records, languages=["en", "fr", "de", "es"], min_chars=100
         ).select("url", "title", "content", "source_domain", "language", "status_code"),
+        rf"""WITH {_EXTRACTED}
+            SELECT url, title, left(content, 50000) AS content, guess AS language, '200' AS status_code,
+                   regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '^www\.', '')
+                     AS source_domain
+            FROM texts JOIN guessed USING (url) JOIN ({_TITLES}) USING (url)
+            WHERE length(content) >= 100 AND guess IN ('en', 'fr', 'de', 'es')""",
     ),
     "extract_rejects": Query(
-        lambda v: x.rejected(x.extract_pages(v.pages, "url", "html", F.lit(""))).select("error_type", "message"),
+        lambda v: x.rejected(x.extract_pages(v.pages, "url", "html", F.lit(""))).select(
+            F.col("context")["url"].alias("url"), "error_type", "message"
+        ),
+        f"""WITH {_EXTRACTED}
+            SELECT url, error_type, concat('page rejected: ', error_type) AS message FROM
+              (SELECT url, CASE WHEN length(content) < 100 THEN 'text_too_short' ELSE 'language_not_allowed' END AS error_type
+               FROM texts JOIN guessed USING (url) WHERE length(content) < 100 OR guess <> 'en')""",
     ),
 }
