@@ -153,5 +153,9 @@ OUTLINE_TYPE = StructType(
 
 
 @pandas_udf(OUTLINE_TYPE)
-def html_outline(pages: pd.Series) -> pd.DataFrame:
+def _html_outline(pages: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([outline(p) for p in pages], columns=OUTLINE_TYPE.names)
+
+
+# Declared non-deterministic so that a later filter is not pushed below it, which would parse every page twice.
+html_outline = _html_outline.asNondeterministic()

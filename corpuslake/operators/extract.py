@@ -98,20 +98,18 @@ def extract_pages(
 
     Rejected pages stay in, so that the costly parse feeds both the articles and the error table.
     """
-    out = with_outline(records, html)
-    out = out.withColumn("_text", extract_main_text(F.col("outline"), min_chars))
-    out = out.withColumn("language", detect_language("_text"))
+    text = extract_main_text(F.col("outline"), min_chars)
     content = F.col("_text") if max_chars is None else truncate_text("_text", max_chars)
-    return out.select(
-        *keep,
-        F.col(url).alias("url"),
-        extract_title(F.col("outline")).alias("title"),
-        content.alias("content"),
-        source_domain(url).alias("source_domain"),
-        "language",
-        default_empty(status).alias("status_code"),
-        reject_reason("_text", "language", min_chars, languages).alias("reject_reason"),
+    out = with_outline(records, html).select(
+        *keep, F.col(url).alias("url"), default_empty(status).alias("status_code"),
+        extract_title(F.col("outline")).alias("title"), text.alias("_text"),
+    ).withColumn("language", detect_language("_text"))
+    fields = F.struct(
+        "url", "title", content.alias("content"), source_domain("url").alias("source_domain"), "language",
+        "status_code", reject_reason("_text", "language", min_chars, languages).alias("reject_reason"),
     )
+    # Unpacking through a generator keeps later filters above it: text and language are computed once.
+    return out.select(*keep, F.inline(F.array(fields)))
 
 
 def accepted(extracted: DataFrame) -> DataFrame:
