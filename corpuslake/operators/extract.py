@@ -96,11 +96,13 @@ def extract_pages(
 ) -> DataFrame:
     """One row per page with the article fields and ``reject_reason``.
 
-    Rejected pages stay in, so that the costly parse feeds both the articles and the error table.
+    Rejected pages stay in, so that the costly parse feeds both the articles and the error table. Records
+    that bring their ``outline`` are not parsed again.
     """
     text = extract_main_text(F.col("outline"), min_chars)
     content = F.col("_text") if max_chars is None else truncate_text("_text", max_chars)
-    out = with_outline(records, html).select(
+    parsed = records if "outline" in records.columns else with_outline(records, html)
+    out = parsed.select(
         *keep, F.col(url).alias("url"), default_empty(status).alias("status_code"),
         extract_title(F.col("outline")).alias("title"), text.alias("_text"),
     ).withColumn("language", detect_language("_text"))

@@ -14,8 +14,8 @@ from ..operators import cdx, extract, progress
 from ..session import scratch_path
 from ..sinks.articles import BatchResult, insert_batch
 from ..sinks.ledgers import mark_files, mark_pairs, quarantine
-from ..sources.tables import scan_articles, scan_ledger_files, scan_ledger_pairs
-from ..sources.warc import UNREADABLE, read_ranges, unreadable
+from ..sources.tables import init_articles, scan_articles, scan_ledger_files, scan_ledger_pairs
+from ..sources.warc import UNREADABLE, read_outlines, unreadable
 
 
 @dataclass(frozen=True)
@@ -91,6 +91,7 @@ def run_build(
     pairs are marked after the articles are stored, and only if all their records could be read, so a run
     that dies is repeated, and content already stored is not stored again.
     """
+    init_articles(spark, store.articles)
     rules = cdx.pattern_table(spark, patterns)
     pairs = progress.pairs_cross(rules, crawl_ids)
     targets = select_targets(index, rules, crawl_ids, keywords, date_start, date_end, max_files)
@@ -102,11 +103,14 @@ def run_build(
     targets.write.parquet(plan_path)
     targets = spark.read.schema(targets.schema).parquet(plan_path)
 
+    if targets.isEmpty():
+        mark_pairs(pairs.withColumn("articles_inserted", F.lit(0)), store.pairs)
+        return BatchResult(batch_id, 0, 0)
+
     tasks = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    records = read_ranges(targets, warc_base, tasks).filter(F.col("warc_type").isin("response", UNREADABLE))
+    records = read_outlines(targets, warc_base, tasks).filter(F.col("warc_type").isin("response", UNREADABLE))
     extracted = extract.extract_pages(
-        records.withColumn("error", F.col("headers")["error"]),
-        min_chars=min_chars, max_chars=max_chars, languages=languages, keep=["filename", "warc_type", "error"],
+        records, min_chars=min_chars, max_chars=max_chars, languages=languages, keep=["filename", "warc_type", "error"]
     )
     page_path = scratch_path(spark, "pages")
     extracted.write.parquet(page_path)

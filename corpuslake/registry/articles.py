@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions import content_hash
+from ..functions import content_hash, default_empty, regex_contains, text_length
 from ..operators import articles as a
 from ..operators import dedup
 from ..plans.flagship import corpus_report
@@ -42,6 +42,23 @@ QUERIES = {
         f"""SELECT {_KEY} FROM articles
             WHERE regexp_matches(title, 'License|lizenz') OR regexp_matches(content, 'License|lizenz')""",
     ),
+    "regex_contains": Query(
+        lambda v: v.articles.select("url", regex_contains("content", "[Ll]icense|[0-9]{3}-[0-9]{4}").alias("hit")),
+        "SELECT url, regexp_matches(content, '[Ll]icense|[0-9]{3}-[0-9]{4}') AS hit FROM articles",
+    ),
+    "limit_any": Query(
+        lambda v: a.search_by_keyword(v.articles, "the").agg(F.count(F.lit(1)).alias("n_rows")),
+        """SELECT least(50, count(*)) AS n_rows FROM articles
+           WHERE regexp_matches(title, 'the') OR regexp_matches(content, 'the')""",
+    ),
+    "text_length": Query(
+        lambda v: v.articles.select("url", text_length("title").alias("n"), text_length("content").alias("m")),
+        "SELECT url, length(title) AS n, length(content) AS m FROM articles",
+    ),
+    "default_empty": Query(
+        lambda v: v.labels.select("url", default_empty("category").alias("category")),
+        "SELECT url, coalesce(category, '') AS category FROM old_labels",
+    ),
     "articles_by_date_range": Query(
         lambda v: a.articles_by_date_range(v.articles, "2020-03-10", "2020-04-30", order_by="publish_date ASC").select(*_KEYS),
         f"""SELECT {_KEY} FROM articles WHERE publish_date >= '2020-03-10' AND publish_date <= '2020-04-30'

@@ -115,6 +115,10 @@ QUERIES = {
                   strftime(strptime(timestamp, '%Y%m%d%H%M%S'), '%Y-%m-%dT%H:%M:%SZ') AS warc_date,
                   '200' AS status_code, html FROM cdx JOIN (SELECT page_id, html FROM pages) USING (page_id)""",
     ),
+    "record_filter": Query(
+        lambda v: v.warc_records.filter(F.col("warc_type") == "response").select("target_uri"),
+        "SELECT url AS target_uri FROM pages",
+    ),
     "target_records": Query(
         lambda v: c.target_records(v.warc_records, c.filter_keywords(v.cdx, ["/en/"])).select("target_uri", "filename"),
         "SELECT url AS target_uri, filename FROM cdx WHERE contains(lower(url), '/en/')",

@@ -21,8 +21,11 @@ from ..sources.tables import (
 )
 from ..plans.labelling import run_labelling
 from ..operators.classify import keyword_scorer
+from ..plans.ingest import Store, run_build
 from ..streaming import jobs
 from . import Query, Views
+from .extraction import _EXTRACTED, _TITLES
+from .views import CRAWLS, PATTERNS
 from .labelling import _MERGED, _SCORED, TERMS
 from .metrics import _changes_sql
 
@@ -164,6 +167,22 @@ def _quarantine(v: Views) -> DataFrame:
     return scan_quarantine(v.spark, path).select("error_type", "message", F.col("context")["event"].alias("event"))
 
 
+def _build(v: Views) -> DataFrame:
+    """Archives written from the pages, then a whole build over them, run twice: the second finds nothing to do."""
+    base = _new(v, "archives")
+    index = v.written_archives(base)
+    store = Store(_new(v, "store"))
+    for batch in range(2):
+        run_build(
+            v.spark, index, base, store, batch, PATTERNS, CRAWLS, ["/en/", "/de/"], "2020-04-02", "2020-04-27",
+            languages=["en", "de"],
+        )
+    return scan_articles(v.spark, store.articles).select(
+        "url", "title", "content", "source_domain", "crawl_id", "timestamp", "language", "status_code", "publish_date",
+        "batch_id",
+    )
+
+
 def _stream_of(v: Views, name: str) -> DataFrame:
     given = v.table(name)
     return v.spark.readStream.schema(given.schema).option("pathGlobFilter", f"{name}.parquet").parquet(v.sf_dir)
@@ -258,6 +277,22 @@ QUERIES = {
     "quarantine": Query(
         _quarantine, "SELECT error_type, message, cast(event_id AS varchar) AS event FROM errors"
     ),
+    "run_build": Query(
+        _build,
+        rf"""WITH {_EXTRACTED},
+            pages_in AS (SELECT * FROM matched WHERE (contains(lower(url), '/en/') OR contains(lower(url), '/de/'))
+                          AND timestamp >= '20200402000000' AND timestamp <= '20200427999999'),
+            good AS (SELECT url, title, content, guess AS language, crawl_id, timestamp, row_number() OVER (
+                       PARTITION BY md5(trim(regexp_replace(lower(content), '\s+', ' ', 'g'))) ORDER BY timestamp, url) AS rn
+                     FROM texts JOIN guessed USING (url) JOIN ({_TITLES}) USING (url) JOIN pages_in USING (url)
+                     WHERE length(content) >= 100 AND guess IN ('en', 'de'))
+            SELECT url, title, left(content, 50000) AS content,
+                   regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '^www\.', '') AS source_domain,
+                   crawl_id, timestamp, language, '200' AS status_code,
+                   strftime(strptime(timestamp, '%Y%m%d%H%M%S'), '%Y-%m-%d %H:%M:%S') AS publish_date,
+                   cast(0 AS bigint) AS batch_id
+            FROM good WHERE rn = 1""",
+    ),
     "stream_ingest": Query(_stream_ingest, f"SELECT {_A} FROM ranked WHERE rn = 1"),
     "stream_dedup": Query(_stream_dedup, "SELECT DISTINCT content_hash FROM hashed"),
     "stream_daily_counts": Query(

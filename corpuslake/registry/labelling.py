@@ -32,6 +32,14 @@ _MERGED = """merged AS (SELECT url, max(category) AS category FROM old_labels GR
                           (SELECT url FROM old_labels WHERE category IS NOT NULL) USING (url))"""
 
 
+def _answer(prompt: str) -> str:
+    """Stands for an outside classifier: answers, stays silent, or fails."""
+    text = prompt.split("Article Content:\n", 1)[1].rsplit("\n\nRespond with", 1)[0]
+    if "zukeit" in text:
+        raise RuntimeError("no answer")
+    return " english\n" if " the " in text else ""
+
+
 def _labels(v: Views):
     return k.classify_articles(v.articles, v.labels, k.keyword_scorer(TERMS))
 
@@ -50,6 +58,14 @@ QUERIES = {
         "SELECT url FROM articles ANTI JOIN (SELECT url FROM old_labels WHERE category <> 'error') USING (url)",
     ),
     "classify_articles": Query(_labels, f"WITH {_SCORED}, {_MERGED} SELECT url, category FROM merged"),
+    "classify_with_callable": Query(
+        lambda v: k.classify_articles(v.articles, v.labels, k.callable_scorer(_answer), retry_errors=True),
+        """WITH done AS (SELECT url, category FROM old_labels WHERE category <> 'error')
+           SELECT url, category FROM done UNION ALL
+           SELECT url, CASE WHEN contains(content, 'zukeit') THEN 'error'
+                            WHEN contains(content, ' the ') THEN 'english' ELSE 'unknown' END
+           FROM (SELECT url, left(content, 4000) AS content FROM articles) ANTI JOIN done USING (url)""",
+    ),
     "merge_classifications": Query(
         lambda v: k.merge_classifications(
             v.labels, v.articles.filter("language = 'fr'").select("url", F.lit("international").alias("category"))

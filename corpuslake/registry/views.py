@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import gzip
+import re
+from collections.abc import Iterator
 from functools import cached_property
 
+import pandas as pd
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import capture_time, host
 from ..operators import cdx as cdx_ops
 from ..operators.dedup import with_content_hash
+from ..schemas import CDX
+from ..session import scratch_path
 from ..sources.warc import parse_members
 
 CRAWLS = ["CC-MAIN-2020-16", "CC-MAIN-2020-24", "CC-MAIN-2020-32"]
@@ -153,9 +161,8 @@ class Views:
             "check_id",
         )
 
-    @cached_property
-    def warc_records(self) -> DataFrame:
-        """Pages packed as gzip archive members and read back."""
+    def packed_pages(self) -> DataFrame:
+        """Pages as archive records: (filename, member) and the index fields but for the byte range."""
         head = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"), "html")
         block = head.cast("binary")
         record = F.concat(
@@ -169,7 +176,36 @@ class Views:
             F.lit("\r\n\r\n").cast("binary"),
         )
         pages = self.cdx.join(self.pages.select("page_id", "html"), "page_id")
-        return parse_members(pages.select("filename", record.alias("member")))
+        return pages.select("crawl_id", "url", "filename", "timestamp", record.alias("member"))
+
+    @cached_property
+    def warc_records(self) -> DataFrame:
+        """Pages packed as archive records and read back."""
+        return parse_members(self.packed_pages())
+
+    def written_archives(self, base: str) -> DataFrame:
+        """Pages written as gzip archives below ``base``, one file per task; returns their index."""
+
+        def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            name, at = f"part-{TaskContext.get().partitionId():05d}.warc.gz", 0
+            storage, folder = fs.FileSystem.from_uri(base)
+            storage.create_dir(folder)
+            with storage.open_output_stream(f"{folder}/{name}", compression=None) as out:
+                for batch in batches:
+                    members = [gzip.compress(m) for m in batch["member"]]
+                    lengths = [len(m) for m in members]
+                    out.write(b"".join(members))
+                    offsets = [at + sum(lengths[:i]) for i in range(len(lengths))]
+                    at += sum(lengths)
+                    index = batch[["crawl_id", "url", "timestamp"]]
+                    yield index.assign(filename=name, offset=offsets, length=lengths)
+
+        index = self.packed_pages().mapInPandas(
+            write, "crawl_id string, url string, timestamp string, filename string, offset long, length long"
+        )
+        path = scratch_path(self.spark, "index")
+        index.write.parquet(path)
+        return self.spark.read.schema(CDX).parquet(path)
 
 
 _ARTICLES = """
@@ -223,8 +259,6 @@ _CTES = {
 
 def with_views(body: str) -> str:
     """A stand-alone query: the views ``body`` uses, directly or through others, then ``body``."""
-    import re
-
     used: list[str] = []
 
     def visit(text: str) -> None:

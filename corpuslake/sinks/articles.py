@@ -56,7 +56,7 @@ def insert_batch(rows: DataFrame, path: str, batch_id: int) -> BatchResult:
        a partial aggregate, so a hash with a third of all rows leaves each map task as one row.
     3. The full rows are fetched by their place in the staged files, a key without duplicates.
 
-    Inserting the same rows again inserts nothing.
+    Inserting the same rows again inserts nothing. One writer at a time: plain Parquet has no locks.
     """
     spark = rows.sparkSession
     init_articles(spark, path)

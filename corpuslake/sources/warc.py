@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import io
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.types import StringType, StructField, StructType
 
+from ..functions.html_outline import OUTLINE_TYPE, outline
 from ..schemas import WARC_RECORDS
 from .warc_format import UNREADABLE, Record, read_records
 
@@ -81,15 +83,43 @@ def read_ranges(index: DataFrame, base: str, partitions: int, chunk_bytes: int =
     read by many tasks, each moving forward through its stretch. The partition count is given because
     adaptive execution would merge these tiny rows into too few tasks for the work they cause.
     """
+    return _fetch(index, base, partitions, chunk_bytes, lambda frame: frame, WARC_RECORDS)
 
+
+def read_outlines(index: DataFrame, base: str, partitions: int, chunk_bytes: int = 256 << 20) -> DataFrame:
+    """As ``read_ranges``, with the page's ``outline`` and ``error`` in place of headers and payload.
+
+    Pages are tokenised where they are read: their bytes never pass from Python to the JVM and back.
+    """
+
+    def finish(frame: pd.DataFrame) -> pd.DataFrame:
+        pages = [outline(p) for p in frame["payload"]]
+        parts = pd.DataFrame(pages, columns=OUTLINE_TYPE.names, index=frame.index)
+        errors = frame["headers"].map(lambda h: h.get("error", ""))
+        return frame.drop(columns=["headers", "payload"]).assign(error=errors).join(parts)
+
+    plain = [f for f in WARC_RECORDS.fields if f.name not in ("headers", "payload")]
+    schema = StructType([*plain, StructField("error", StringType()), *OUTLINE_TYPE.fields])
+    rows = _fetch(index, base, partitions, chunk_bytes, finish, schema)
+    return rows.select(*[f.name for f in plain], "error", F.struct(*OUTLINE_TYPE.names).alias("outline"))
+
+
+def _fetch(
+    index: DataFrame,
+    base: str,
+    partitions: int,
+    chunk_bytes: int,
+    finish: Callable[[pd.DataFrame], pd.DataFrame],
+    schema: StructType,
+) -> DataFrame:
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name, part in batch.groupby("filename", sort=False):
-                yield from _frames(_read_file_part(base, name, part))
+                yield from map(finish, _frames(_read_file_part(base, name, part)))
 
     wanted = index.select("filename", "offset", "length").distinct()
     spread = wanted.repartition(partitions, "filename", F.floor(F.col("offset") / chunk_bytes))
-    return spread.sortWithinPartitions("filename", "offset").mapInPandas(fetch, WARC_RECORDS)
+    return spread.sortWithinPartitions("filename", "offset").mapInPandas(fetch, schema)
 
 
 def _read_file_part(base: str, name: str, part: pd.DataFrame) -> Iterator[Record]:

@@ -173,3 +173,20 @@ def test_dedup_first_is_planned_with_a_map_side_limit(make_articles):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert [r["url"] for r in dicts(out)] == ["1"]
+
+
+def test_filters_and_columns_reach_the_scan(spark, tmp_path, make_articles):
+    path = fresh(tmp_path)
+    append_articles(make_articles(dict()), path, 0)
+    stored = scan_articles(spark, path)
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    text = plan(a.articles_by_date_range(stored, "2020-03-01", "2020-04-30").select("url"))
+    assert "PushedFilters: [IsNotNull(publish_date), GreaterThanOrEqual(publish_date,2020-03-01)" in text
+    assert "ReadSchema: struct<url:string,publish_date:string>" in text
+    assert "LessThanOrEqual(batch_id,3)" in plan(a.articles_as_of(stored, 3))
+    assert "EqualTo(content_hash,h)" in plan(a.hash_exists(stored, "h"))
+    assert "ReadSchema: struct<url:string>" in plan(metrics.stats_by_source(stored))
+    assert "TakeOrderedAndProject" in plan(a.recent_articles(stored))

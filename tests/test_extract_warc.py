@@ -229,3 +229,10 @@ def test_limited_labelling_keeps_other_articles(spark, tmp_path, make_articles):
     counts = run_labelling(spark, rows, None, str(tmp_path / "l"), str(tmp_path / "e"), input_filter="language = 'en'")
     assert {(r["category"], r["count"]) for r in dicts(counts)} == {("vaccination", 1), (None, 1)}
     assert metrics.category_counts(spark.read.parquet(str(tmp_path / "e"))).count() == 2
+
+
+def test_a_filter_does_not_parse_pages_twice(spark):
+    pages = spark.createDataFrame([("u", "<p>x")], "url string, html string")
+    out = extract.accepted(extract.extract_pages(pages, "url", "html", F.lit(""))).filter("language = 'en'")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
