@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from ..defaults import CRAWL_IDS, DOMAIN_PATTERNS, KEYWORDS, LANGUAGES, MAX_CONTENT_CHARS, MIN_TEXT_CHARS
 from ..functions import cdx_publish_date
 from ..operators import cdx, extract, progress
+from ..operators.dedup import with_content_hash
 from ..session import scratch_path
-from ..sinks.articles import BatchResult, insert_batch
+from ..sinks.articles import BatchResult, insert_staged
 from ..sinks.ledgers import mark_files, mark_pairs, quarantine
 from ..sources.tables import init_articles, scan_articles, scan_ledger_files, scan_ledger_pairs
 from ..sources.warc import UNREADABLE, read_outlines, unreadable
@@ -60,10 +61,9 @@ def select_targets(
     return cdx.files_top_n(rows, max_files)
 
 
-def stamped_articles(pages: DataFrame, targets: DataFrame, parity: bool = False) -> DataFrame:
-    """Extracted pages (with filename) with crawl, stamp and publish date of their index row."""
-    rows = cdx.attach_index_row(pages, targets, ["timestamp", "crawl_id"])
-    return rows.withColumn("publish_date", cdx_publish_date("timestamp", parity))
+def stamped_targets(targets: DataFrame) -> DataFrame:
+    """Targets where all captures of a url in a file carry crawl and stamp of the first one."""
+    return cdx.attach_index_row(targets.drop("timestamp", "crawl_id"), targets, ["timestamp", "crawl_id"])
 
 
 def run_build(
@@ -87,7 +87,8 @@ def run_build(
 ) -> BatchResult:
     """One resumable build over every (crawl, pattern) pair that is left.
 
-    All pairs run as one job. Archives are read and pages parsed once, into shared storage. Files and
+    All pairs run as one job. Archives are read and pages parsed once, into shared storage, from where the
+    new articles are taken; page text is not joined to the index, whose fields travel with it. Files and
     pairs are marked after the articles are stored, and only if all their records could be read, so a run
     that dies is repeated, and content already stored is not stored again.
     """
@@ -108,18 +109,24 @@ def run_build(
         return BatchResult(batch_id, 0, 0)
 
     tasks = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    records = read_outlines(targets, warc_base, tasks).filter(F.col("warc_type").isin("response", UNREADABLE))
+    wanted = stamped_targets(targets).withColumn("wanted_url", F.col("url"))
+    carry = ["wanted_url", "timestamp", "crawl_id"]
+    records = read_outlines(wanted, warc_base, tasks, carry).filter(
+        (F.col("warc_type") == UNREADABLE)
+        | ((F.col("warc_type") == "response") & (F.col("target_uri") == F.col("wanted_url")))
+    )
     extracted = extract.extract_pages(
-        records, min_chars=min_chars, max_chars=max_chars, languages=languages, keep=["filename", "warc_type", "error"]
+        records, min_chars=min_chars, max_chars=max_chars, languages=languages,
+        keep=["filename", "warc_type", "error", "timestamp", "crawl_id"],
     )
+    extracted = with_content_hash(extracted.withColumn("publish_date", cdx_publish_date("timestamp", parity)))
     page_path = scratch_path(spark, "pages")
     extracted.write.parquet(page_path)
     extracted = spark.read.schema(extracted.schema).parquet(page_path)
 
     damaged = extracted.filter(F.col("warc_type") == UNREADABLE)
-    pages = extracted.filter(F.col("warc_type") == "response").drop("warc_type", "error")
-    pages = pages.join(targets.select("url"), "url", "left_semi")
-    result = insert_batch(stamped_articles(extract.accepted(pages), targets, parity), store.articles, batch_id)
+    pages = extracted.filter(F.col("warc_type") == "response")
+    result = insert_staged(pages.filter(F.col("reject_reason").isNull()), store.articles, batch_id)
     quarantine(unreadable(damaged).unionByName(extract.rejected(pages)), store.errors)
 
     failed = damaged.select("filename").distinct()

@@ -50,28 +50,33 @@ def append_articles(rows: DataFrame, path: str, batch_id: int) -> None:
 def insert_batch(rows: DataFrame, path: str, batch_id: int) -> BatchResult:
     """Append the rows whose content is new, one per content hash (earliest timestamp, then url).
 
-    1. The batch is written once to shared storage: extraction never runs twice, and a lost executor
-       costs one read instead of one parse.
-    2. The winners are found on narrow columns and written as (file, row) places. ``min`` of a struct is
-       a partial aggregate, so a hash with a third of all rows leaves each map task as one row.
-    3. The full rows are fetched by their place in the staged files, a key without duplicates.
-
-    Inserting the same rows again inserts nothing. One writer at a time: plain Parquet has no locks.
+    The batch is first written to shared storage: what produced it runs once, and a lost executor costs
+    a read instead. Inserting the same rows again inserts nothing. One writer at a time: plain Parquet
+    has no locks.
     """
-    spark = rows.sparkSession
-    init_articles(spark, path)
-    stage, places = scratch_path(spark, "stage"), scratch_path(spark, "places")
+    stage = scratch_path(rows.sparkSession, "stage")
     conform(rows).write.parquet(stage)
+    return insert_staged(rows.sparkSession.read.schema(ARTICLES).parquet(stage), path, batch_id)
+
 
-    staged = spark.read.schema(ARTICLES).parquet(stage).select(
-        "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
+def insert_staged(staged: DataFrame, path: str, batch_id: int) -> BatchResult:
+    """``insert_batch`` for rows that lie in Parquet files already; ``staged`` reads them, filtered or not.
+
+    1. The winners are found on narrow columns and written as (file, row) places. ``min`` of a struct is
+       a partial aggregate, so a hash with a third of all rows leaves each map task as one row.
+    2. The full rows are fetched by their place in the staged files, a key without duplicates.
+    """
+    spark = staged.sparkSession
+    init_articles(spark, path)
+    places = scratch_path(spark, "places")
+    staged = staged.select(
+        *ARTICLE_COLUMNS, F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
     )
     place = F.struct("timestamp", "url", "_file", "_row")
     winners = staged.groupBy("content_hash").agg(F.min(place).alias("w"))
     new = anti_existing_hash(winners, scan_articles(spark, path), rows_are_cheap=True)
     new.select("w._file", "w._row").write.parquet(places)
 
-    # Both counts come from Parquet footers.
     fresh = spark.read.schema("_file string, _row long").parquet(places)
     received, inserted = staged.count(), fresh.count()
     if inserted:

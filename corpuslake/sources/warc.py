@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import io
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
 from pyarrow import fs
@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.html_outline import OUTLINE_TYPE, outline
 from ..schemas import WARC_RECORDS
-from .warc_format import UNREADABLE, Record, read_records
+from .warc_format import UNREADABLE, read_records
 
 _COLUMNS = WARC_RECORDS.names
 
@@ -86,10 +86,13 @@ def read_ranges(index: DataFrame, base: str, partitions: int, chunk_bytes: int =
     return _fetch(index, base, partitions, chunk_bytes, lambda frame: frame, WARC_RECORDS)
 
 
-def read_outlines(index: DataFrame, base: str, partitions: int, chunk_bytes: int = 256 << 20) -> DataFrame:
+def read_outlines(
+    index: DataFrame, base: str, partitions: int, carry: Sequence[str] = (), chunk_bytes: int = 256 << 20
+) -> DataFrame:
     """As ``read_ranges``, with the page's ``outline`` and ``error`` in place of headers and payload.
 
     Pages are tokenised where they are read: their bytes never pass from Python to the JVM and back.
+    ``carry`` names string columns of the index to hand on, which saves joining pages to it later.
     """
 
     def finish(frame: pd.DataFrame) -> pd.DataFrame:
@@ -99,9 +102,11 @@ def read_outlines(index: DataFrame, base: str, partitions: int, chunk_bytes: int
         return frame.drop(columns=["headers", "payload"]).assign(error=errors).join(parts)
 
     plain = [f for f in WARC_RECORDS.fields if f.name not in ("headers", "payload")]
-    schema = StructType([*plain, StructField("error", StringType()), *OUTLINE_TYPE.fields])
-    rows = _fetch(index, base, partitions, chunk_bytes, finish, schema)
-    return rows.select(*[f.name for f in plain], "error", F.struct(*OUTLINE_TYPE.names).alias("outline"))
+    carried = [StructField(c, StringType()) for c in carry]
+    schema = StructType([*plain, *carried, StructField("error", StringType()), *OUTLINE_TYPE.fields])
+    rows = _fetch(index, base, partitions, chunk_bytes, finish, schema, carry)
+    names = [f.name for f in [*plain, *carried]]
+    return rows.select(*names, "error", F.struct(*OUTLINE_TYPE.names).alias("outline"))
 
 
 def _fetch(
@@ -111,39 +116,45 @@ def _fetch(
     chunk_bytes: int,
     finish: Callable[[pd.DataFrame], pd.DataFrame],
     schema: StructType,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
+    columns = [*_COLUMNS, *carry]
+
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name, part in batch.groupby("filename", sort=False):
-                yield from map(finish, _frames(_read_file_part(base, name, part)))
+                yield from map(finish, _frames(_read_file_part(base, name, part, carry), columns))
 
-    wanted = index.select("filename", "offset", "length").distinct()
+    wanted = index.select("filename", "offset", "length", *carry).distinct()
     spread = wanted.repartition(partitions, "filename", F.floor(F.col("offset") / chunk_bytes))
     return spread.sortWithinPartitions("filename", "offset").mapInPandas(fetch, schema)
 
 
-def _read_file_part(base: str, name: str, part: pd.DataFrame) -> Iterator[Record]:
+def _read_file_part(base: str, name: str, part: pd.DataFrame, carry: Sequence[str]) -> Iterator[tuple]:
+    ranges = list(part[["offset", "length", *carry]].itertuples(index=False, name=None))
     try:
         storage, path = fs.FileSystem.from_uri(f"{base.rstrip('/')}/{name}")
         with storage.open_input_file(path) as raw:
-            for offset, length in zip(part["offset"], part["length"]):
-                yield from read_records(name, io.BytesIO(raw.read_at(int(length), int(offset))))
+            for offset, length, *carried in ranges:
+                for r in read_records(name, io.BytesIO(raw.read_at(int(length), int(offset)))):
+                    yield (*r, *carried)
     except OSError as e:
-        yield name, UNREADABLE, "", "", {"error": f"{type(e).__name__}: {e}"}, "", b""
+        yield (name, UNREADABLE, "", "", {"error": f"{type(e).__name__}: {e}"}, "", b"", *ranges[0][2:])
 
 
-def _frames(records: Iterable[Record], max_bytes: int = 64 << 20) -> Iterator[pd.DataFrame]:
+def _frames(records: Iterable[tuple], columns: list[str] = _COLUMNS, max_bytes: int = 64 << 20) -> Iterator[pd.DataFrame]:
     """Records packed into frames of bounded size, so that a task holds little at a time."""
-    rows: list[Record] = []
+    payload = _COLUMNS.index("payload")
+    rows: list[tuple] = []
     size = 0
     for r in records:
         rows.append(r)
-        size += len(r[-1])
+        size += len(r[payload])
         if size >= max_bytes:
-            yield pd.DataFrame(rows, columns=_COLUMNS)
+            yield pd.DataFrame(rows, columns=columns)
             rows, size = [], 0
     if rows:
-        yield pd.DataFrame(rows, columns=_COLUMNS)
+        yield pd.DataFrame(rows, columns=columns)
 
 
 def unreadable(records: DataFrame) -> DataFrame:
