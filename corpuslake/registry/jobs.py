@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import ARTICLES, CDX, CLASSIFICATIONS
+from ..schemas import ARTICLES, CDX
 from ..session import scratch_path
-from ..sinks.articles import append_articles, compact_articles, conform, export_dataset, insert_batch
+from ..sinks.articles import append_articles, compact_articles, export_dataset, insert_batch
 from ..sinks.exports import export_metrics, export_salience_sections
 from ..sinks.ledgers import mark_files, mark_pairs, quarantine, write_classifications
 from ..sources.cdx import scan_cdx

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpuslake.functions.html_outline import outline
 from corpuslake.operators import classify, extract, metrics
-from corpuslake.operators.cdx import pattern_table, target_records
+from corpuslake.operators.cdx import target_records
 from corpuslake.plans.ingest import Store, run_build
 from corpuslake.plans.labelling import run_labelling
 from corpuslake.schemas import CLASSIFICATIONS
