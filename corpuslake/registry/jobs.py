@@ -74,8 +74,8 @@ def _insert_in_batches(v: Views) -> DataFrame:
 
 def _compact(v: Views) -> DataFrame:
     path = _new(v, "loose")
-    for batch in range(2):
-        append_articles(v.hashed.filter(F.col("language") == ["en", "fr"][batch]), path, batch)
+    for batch, rows in enumerate(["language = 'en'", "language <> 'en'"]):
+        append_articles(v.hashed.filter(rows), path, batch)
     return compact_articles(v.spark, path, _new(v, "compact")).select(*_COLS, "batch_id")
 
 
@@ -240,7 +240,7 @@ QUERIES = {
     "compact_articles": Query(
         _compact,
         f"""SELECT {_A}, CASE language WHEN 'en' THEN 0 ELSE 1 END::bigint AS batch_id
-            FROM hashed WHERE language IN ('en', 'fr')""",
+            FROM hashed""",
     ),
     "export_metrics": Query(
         _export,
