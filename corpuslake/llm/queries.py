@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mix, shards
+from . import chat, mix, shards, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,13 @@ FROM marked GROUP BY conv_id
 """
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return out.select(
+        "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mix.mix(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -107,6 +114,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": op2_chat_formatting,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_mix_sources": op7_mix_sources,
     "op10_sharding": op10_sharding,
 }
