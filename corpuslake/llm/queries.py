@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mix, shards, simhash
+from . import chat, langid, mix, shards, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,11 @@ FROM marked GROUP BY conv_id
 """
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(_table(spark, sf_dir, "documents"), keep=["doc_id"])
     return out.select(
@@ -114,6 +119,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": op2_chat_formatting,
+    "op3_language_id": op3_language_id,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_mix_sources": op7_mix_sources,
     "op10_sharding": op10_sharding,
