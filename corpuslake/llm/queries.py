@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, mix, shards, simhash
+from . import chat, langid, lm, mix, shards, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(_table(spark, sf_dir, "documents"), keep=["doc_id"])
     return out.select(
@@ -120,6 +124,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": op2_chat_formatting,
     "op3_language_id": op3_language_id,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_mix_sources": op7_mix_sources,
     "op10_sharding": op10_sharding,
