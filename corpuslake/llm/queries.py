@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, lm, mix, shards, simhash
+from . import chat, langid, lm, mix, quality, shards, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -112,6 +112,10 @@ FROM e
 SHARDS = 24
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rate(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), keep=["doc_id"])
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     crc = F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("text_crc32")
@@ -127,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_lm_scoring": op5_lm_scoring,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_mix_sources": op7_mix_sources,
+    "op8_quality_rules": op8_quality_rules,
     "op10_sharding": op10_sharding,
 }
 
