@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, lm, mix, quality, shards, simhash
+from . import chat, langid, lm, mix, quality, secrets, shards, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,16 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    number = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[number(k).alias(f"n_{k}") for k in secrets.KINDS],
+        F.sha2(secrets.written(F.filter("secrets", lambda s: s["kind"] != "novel")), 256).alias("base_sha256"),
+        secrets.written(F.col("secrets")).alias("spans"),
+    )
+
+
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -128,6 +138,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": op2_chat_formatting,
     "op3_language_id": op3_language_id,
+    "op4_secret_scan": op4_secret_scan,
     "op5_lm_scoring": op5_lm_scoring,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_mix_sources": op7_mix_sources,
