@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, lm, mix, quality, secrets, shards, simhash
+from . import chat, decontam, langid, lm, mix, quality, secrets, shards, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -126,6 +126,15 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), keep=["doc_id"])
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.find_leaks(docs, _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", (F.size("leaks") > 0).alias("contaminated"), F.size("leaks").cast("long").alias("n_items"),
+        F.array_join(F.transform("leaks", lambda x: x["item_id"].cast("string")), ",").alias("item_ids"),
+    )
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     crc = F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("text_crc32")
@@ -143,6 +152,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_mix_sources": op7_mix_sources,
     "op8_quality_rules": op8_quality_rules,
+    "op9_decontamination": op9_decontamination,
     "op10_sharding": op10_sharding,
 }
 
