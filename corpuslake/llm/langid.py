@@ -18,7 +18,7 @@ from .tasks import utf8, words
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Documents per language that the model is fitted on: those with the least hash of their id.
-SAMPLE = 1000
+SAMPLE = 500
 ROUNDS = 2
 FOLDS, FOLD = 5, 0
 UNKNOWN = "und"
@@ -58,9 +58,10 @@ def fit(
     rows = docs.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
     rows = rows.filter("lang is not null")
     ids = top_n_per_key(
-        rows.filter("id is not null").select("lang", "id").withColumn("h", F.xxhash64("id")), ["lang"], ["h", "id"], sample, ["id"], 64
+        rows.filter("id is not null").select("lang", "id").withColumn("h", F.xxhash64("id")), ["lang"], ["h", "id"], sample, ["id"], 16
     )
-    taken = rows.join(ids.select("lang", "id"), ["lang", "id"], "left_semi").select("lang", "text")
+    # At most ``sample`` ids per language.
+    taken = rows.join(F.broadcast(ids.select("lang", "id")), ["lang", "id"], "left_semi").select("lang", "text")
     counts = taken.mapInArrow(_counted, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counts = counts.persist()
     langs = sorted(r[0] for r in counts.select("lang").distinct().collect())
