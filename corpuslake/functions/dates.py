@@ -31,6 +31,12 @@ def capture_time(stamp: Column | str) -> Column:
     return F.try_to_timestamp(col(stamp), F.lit("yyyyMMddHHmmss"))
 
 
+def day_text(publish_date: Column | str) -> Column:
+    """Calendar day of a publish date as text; dates that are none, '' too, stay as they are."""
+    c = col(publish_date)
+    return F.coalesce(F.date_format(publish_day(c), "yyyy-MM-dd"), c)
+
+
 def publish_day(publish_date: Column | str) -> Column:
     """Calendar day of a publish date, NULL where it is empty or unreadable."""
     return F.try_to_timestamp(F.left(col(publish_date), F.lit(10)), F.lit("yyyy-MM-dd")).cast("date")

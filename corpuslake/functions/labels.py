@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..defaults import CATEGORIES, CATEGORY_TERMS, PROMPT, PROMPT_CONTENT_CHARS
+from ..defaults import CATEGORIES, CATEGORY_TERMS, PROMPT
 from .text import col, default_empty, truncate_text
 
 
@@ -16,15 +16,15 @@ def build_prompt(
     title: Column | str,
     content: Column | str,
     categories: Sequence[str] = CATEGORIES,
-    max_chars: int = PROMPT_CONTENT_CHARS,
+    max_chars: int | None = None,
 ) -> Column:
-    """The full classifier question for one article."""
+    """The full classifier question for one article, with the whole text or its first ``max_chars`` characters."""
     text = PROMPT.replace("{categories}", "\n".join(f"- {c}" for c in categories))
     head, rest = text.split("{title}")
     middle, tail = rest.split("{content}")
     return F.concat(
         F.lit(head), default_empty(title), F.lit(middle),
-        truncate_text(default_empty(content), max_chars, "..."), F.lit(tail),
+        default_empty(content) if max_chars is None else truncate_text(default_empty(content), max_chars, "..."), F.lit(tail),
     )
 
 

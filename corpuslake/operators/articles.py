@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ def query_articles(
     articles: DataFrame,
     where: str | Column | None = None,
     order_by: str = "timestamp DESC",
-    limit: int | None = 100,
+    limit: int | None = None,
     tie_break: Sequence[str] = ("url",),
 ) -> DataFrame:
     """Filter, sort and cut. The last sort keys make the cut repeatable."""
@@ -54,7 +55,7 @@ def sample_recent(articles: DataFrame, preview: int = PREVIEW_CHARS) -> DataFram
 
 
 def search_by_keyword(
-    articles: DataFrame, keyword: str, limit: int | None = 50, order_by: str = ""
+    articles: DataFrame, keyword: str, limit: int | None = None, order_by: str = ""
 ) -> DataFrame:
     """Case-sensitive regex in title or content.
 
@@ -68,15 +69,18 @@ def articles_by_date_range(
     articles: DataFrame,
     start_date: str,
     end_date: str,
-    limit: int | None = 1000,
-    inclusive_day: bool = False,
+    limit: int | None = None,
+    inclusive_day: bool = True,
     order_by: str = "",
 ) -> DataFrame:
-    """Both ends included. Dates are compared as strings, so a time part on the last day falls out;
-    ``inclusive_day=True`` compares calendar days instead."""
+    """Both ends included, by calendar day. ``inclusive_day=False`` compares strings, so that a time part on the
+    last day falls out."""
     if inclusive_day:
         day = publish_day("publish_date")
-        hits = articles.filter(day.between(F.lit(start_date).cast("date"), F.lit(end_date).cast("date")))
+        # The same bounds on the string reach the scan; they hold for every date that is one.
+        after = str(date.fromisoformat(end_date) + timedelta(days=1))
+        near = articles.filter((F.col("publish_date") >= start_date) & (F.col("publish_date") < after))
+        hits = near.filter(day.between(F.lit(start_date).cast("date"), F.lit(end_date).cast("date")))
     else:
         hits = articles.filter(F.col("publish_date").between(start_date, end_date))
     return query_articles(hits, order_by=order_by, limit=limit)

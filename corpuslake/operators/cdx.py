@@ -67,12 +67,12 @@ def filter_keywords(
 def filter_keywords_inline(
     index: DataFrame,
     keywords: Sequence[str] = (),
-    limit: int = 500,
+    limit: int | None = None,
     keys: Sequence[str] = PAIR,
 ) -> DataFrame:
-    """As the index query does it: no keywords means no filter, and at most ``limit`` rows per pair."""
+    """As the index query does it: no keywords means no filter; with ``limit`` at most so many rows per pair."""
     rows = index.filter(lower_contains("url", keywords, lower_terms=False)) if keywords else index
-    return urls_top_n(rows, limit, keys)
+    return rows if limit is None else urls_top_n(rows, limit, keys)
 
 
 def filter_keywords_content(index: DataFrame, texts: DataFrame, keywords: Sequence[str] = KEYWORDS) -> DataFrame:
@@ -99,7 +99,7 @@ def files_top_n(index: DataFrame, max_files: int | None, keys: Sequence[str] = P
     if not max_files:
         return index
     files = nonempty_filename(index).select(*keys, "filename").distinct()
-    kept = top_n_per_key(files, keys, ["filename"], max_files)
+    kept = top_n_per_key(files, keys, ["filename"], max_files, salt=["filename"])
     return index.join(kept, [*keys, "filename"], "left_semi")
 
 
@@ -146,7 +146,7 @@ def query_all_pairs(
     patterns: DataFrame,
     crawl_ids: Sequence[str] = CRAWL_IDS,
     keywords: Sequence[str] = (),
-    limit_per_domain: int = 500,
+    limit_per_domain: int | None = None,
     date_start: str | None = None,
     date_end: str | None = None,
 ) -> DataFrame:

@@ -23,9 +23,15 @@ def keyword_scorer(terms: Mapping[str, Sequence[str]] = CATEGORY_TERMS, fallback
 
 
 def callable_scorer(
-    answer: Callable[[str], str], categories: Sequence[str] = CATEGORIES, strict: bool = False
+    answer: Callable[[str], str],
+    categories: Sequence[str] = CATEGORIES,
+    strict: bool = False,
+    max_chars: int | None = None,
 ) -> Scorer:
-    """Label with a Python function from prompt to answer, in Arrow batches. A failed call is 'error'."""
+    """Label with a Python function from prompt to answer, in Arrow batches. A failed call is 'error'.
+
+    The prompt has the whole text, or its first ``max_chars`` characters where a model takes no more.
+    """
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def safe(prompt: str) -> str | None:
@@ -38,7 +44,7 @@ def callable_scorer(
             yield pd.DataFrame({"url": batch["url"], "answer": batch["prompt"].map(safe).astype(object)})
 
     def score(rows: DataFrame) -> DataFrame:
-        asked = rows.select("url", build_prompt("title", "content", categories).alias("prompt"))
+        asked = rows.select("url", build_prompt("title", "content", categories, max_chars).alias("prompt"))
         answers = asked.mapInPandas(ask, "url string, answer string")
         return answers.select("url", normalize_category("answer", categories if strict else None).alias("category"))
 
@@ -56,14 +62,19 @@ def unclassified(articles: DataFrame, labels: DataFrame, retry_errors: bool = Fa
 
 
 def one_label_per_url(labels: DataFrame) -> DataFrame:
-    """One label per url; of several, the last in alphabetical order, so that a re-run agrees."""
-    return labels.groupBy("url").agg(F.max("category").alias("category"))
+    """One label per url: the last by ``labelled_at`` where labels have that column. Among those of one time a real
+    label goes before 'unknown', that before 'error', and the last in alphabetical order before the rest."""
+    rank = F.when(F.col("category").isNull(), 0).when(F.col("category") == "error", 1).when(F.col("category") == "unknown", 2).otherwise(3)
+    time = ["labelled_at"] if "labelled_at" in labels.columns else []
+    best = F.max(F.struct(*time, rank.alias("rank"), "category"))
+    return labels.groupBy("url").agg(best.alias("best")).select("url", F.col("best.category").alias("category"))
 
 
 def merge_classifications(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Old labels overlaid by new ones. Both sides hold a url once."""
-    columns = CLASSIFICATIONS.names
-    return old.select(*columns).join(new.select("url"), "url", "left_anti").unionByName(new.select(*columns))
+    """Old labels overlaid by new ones. Both sides hold a url once. One join, so new labels are worked out once."""
+    fresh = new.select("url", F.col("category").alias("_new"), F.lit(True).alias("_is_new"))
+    both = old.select(*CLASSIFICATIONS.names).join(fresh, "url", "full_outer")
+    return both.select("url", F.when(F.col("_is_new"), F.col("_new")).otherwise(F.col("category")).alias("category"))
 
 
 def articles_with_category(articles: DataFrame, labels: DataFrame) -> DataFrame:

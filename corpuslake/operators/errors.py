@@ -23,12 +23,17 @@ def error_counts(errors: DataFrame) -> DataFrame:
     )
 
 
-def error_samples(errors: DataFrame, types: int = 5, order: Sequence[str] = ("at",)) -> DataFrame:
-    """The first error of each type, for the ``types`` types that appeared first.
+def error_samples(errors: DataFrame, types: int | None = None, order: Sequence[str] = ("at",)) -> DataFrame:
+    """The first error of each type, of all types or of the ``types`` that appeared first.
 
+    Errors written together share their time, so ties go by message, then by the url or file they name.
     ``min_by`` is a partial aggregate: a type with a third of all errors sends one row per map task.
     """
-    key = F.struct(*order)
+    ties = ["message"] if "message" in errors.columns else []
+    if "context" in errors.columns:
+        ties += [F.element_at("context", F.lit(k)).alias(k) for k in ("url", "filename")]
+    key = F.struct(*order, *ties)
     rest = [c for c in errors.columns if c != "error_type"]
     first = errors.groupBy("error_type").agg(F.min_by(F.struct(*rest), key).alias("first"))
-    return first.select("error_type", "first.*").orderBy(*order).limit(types)
+    rows = first.select("error_type", "first.*").orderBy(*order, "error_type")
+    return rows if types is None else rows.limit(types)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..defaults import LANGUAGES, MAX_CONTENT_CHARS, MIN_TEXT_CHARS
+from ..defaults import LANGUAGES, MIN_TEXT_CHARS
 from ..functions import default_empty, detect_language, source_domain, truncate_text
 from ..functions.html_outline import BLOCK, html_outline
 
@@ -90,7 +90,7 @@ def extract_pages(
     html: str = "payload",
     status: Column | str = "status_code",
     min_chars: int = MIN_TEXT_CHARS,
-    max_chars: int | None = MAX_CONTENT_CHARS,
+    max_chars: int | None = None,
     languages: Sequence[str] = LANGUAGES,
     keep: Sequence[str] = (),
 ) -> DataFrame:

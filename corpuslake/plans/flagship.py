@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import content_hash, text_length
+from ..functions import content_hash, day_text, text_length
 from ..operators.dedup import dedup_first
 
 
@@ -14,7 +14,7 @@ def corpus_report(articles: DataFrame) -> DataFrame:
     """
     narrow = articles.select(
         content_hash("content").alias("content_hash"), "timestamp", "url", "source_domain",
-        "publish_date", text_length("content").alias("chars"),
+        day_text("publish_date").alias("publish_date"), text_length("content").alias("chars"),
     )
     by_day = dedup_first(narrow).groupBy("source_domain", "publish_date").agg(
         F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars")

@@ -25,17 +25,22 @@ QUERIES = {
     ),
     "get_urls": Query(lambda v: a.urls(v.articles), "SELECT url FROM articles"),
     "url_exists": Query(
-        lambda v: a.known_urls(v.page_texts.select(
-            F.concat(F.lit("https://src1.example/a/"), F.col("page_id").cast("string")).alias("url")), v.articles),
-        """SELECT w.url FROM (SELECT concat('https://src1.example/a/', cast(page_id AS varchar)) AS url
-                              FROM page_texts) w SEMI JOIN articles USING (url)""",
+        lambda v: a.known_urls(v.articles.select(
+            F.concat(F.lit("https://src1.example/a/"), F.col("doc_id").cast("string")).alias("url")), v.articles),
+        """SELECT w.url FROM (SELECT concat('https://src1.example/a/', cast(doc_id AS varchar)) AS url
+                              FROM articles) w SEMI JOIN articles USING (url)""",
     ),
     "search_by_keyword": Query(
         lambda v: a.search_by_keyword(v.articles, r"[Rr]eleased under|Th[a-z]+ing", order_by="url ASC").select(*_KEYS),
         rf"""SELECT {_KEY} FROM articles
              WHERE regexp_matches(title, '[Rr]eleased under|Th[a-z]+ing')
                 OR regexp_matches(content, '[Rr]eleased under|Th[a-z]+ing')
-             ORDER BY url LIMIT 50""",
+             ORDER BY url""",
+    ),
+    "search_by_keyword_limit": Query(
+        lambda v: a.search_by_keyword(v.articles, "Th[a-z]+ing", 50, "url ASC").select(*_KEYS),
+        f"""SELECT {_KEY} FROM articles
+            WHERE regexp_matches(title, 'Th[a-z]+ing') OR regexp_matches(content, 'Th[a-z]+ing') ORDER BY url LIMIT 50""",
     ),
     "search_by_keyword_all": Query(
         lambda v: a.search_by_keyword(v.articles, "License|lizenz", limit=None).select(*_KEYS),
@@ -47,7 +52,7 @@ QUERIES = {
         "SELECT url, regexp_matches(content, '[Ll]icense|[0-9]{3}-[0-9]{4}') AS hit FROM articles",
     ),
     "limit_any": Query(
-        lambda v: a.search_by_keyword(v.articles, "the").agg(F.count(F.lit(1)).alias("n_rows")),
+        lambda v: a.search_by_keyword(v.articles, "the", 50).agg(F.count(F.lit(1)).alias("n_rows")),
         """SELECT least(50, count(*)) AS n_rows FROM articles
            WHERE regexp_matches(title, 'the') OR regexp_matches(content, 'the')""",
     ),
@@ -62,7 +67,12 @@ QUERIES = {
     "articles_by_date_range": Query(
         lambda v: a.articles_by_date_range(v.articles, "2020-03-10", "2020-04-30", order_by="publish_date ASC").select(*_KEYS),
         f"""SELECT {_KEY} FROM articles WHERE publish_date >= '2020-03-10' AND publish_date <= '2020-04-30'
-            ORDER BY publish_date, url LIMIT 1000""",
+            ORDER BY publish_date, url""",
+    ),
+    "articles_by_date_range_limit": Query(
+        lambda v: a.articles_by_date_range(v.built, "2020-03-10", "2020-04-30", 100, order_by="url ASC").select("url"),
+        """SELECT url FROM articles WHERE publish_date BETWEEN '2020-03-10' AND '2020-04-30'
+           ORDER BY url LIMIT 100""",
     ),
     "articles_by_date_range_days": Query(
         lambda v: a.articles_by_date_range(v.articles, "2020-03-10", "2020-04-30", None, inclusive_day=True).select(*_KEYS),
@@ -73,6 +83,11 @@ QUERIES = {
         lambda v: a.hash_exists(v.hashed, "d41d8cd98f00b204e9800998ecf8427e"),
         "SELECT count(*) > 0 AS found FROM hashed WHERE content_hash = 'd41d8cd98f00b204e9800998ecf8427e'",
     ),
+    "hash_exists_stored": Query(
+        lambda v: a.hash_exists(v.hashed.withColumn("content_hash", content_hash(F.left("content", F.lit(1)))),
+                                "e358efa489f58062f10dd7316b65649e"),
+        "SELECT count(*) > 0 AS found FROM hashed WHERE md5(lower(left(content, 1))) = 'e358efa489f58062f10dd7316b65649e'",
+    ),
     "content_hash": Query(
         lambda v: v.articles.select("doc_id", content_hash("content").alias("content_hash")),
         "SELECT doc_id, content_hash FROM hashed",
@@ -83,6 +98,10 @@ QUERIES = {
     ),
     "query_articles": Query(
         lambda v: a.query_articles(v.articles).select(*_KEYS),
+        f"SELECT {_KEY} FROM articles ORDER BY timestamp DESC, url",
+    ),
+    "query_articles_limit": Query(
+        lambda v: a.query_articles(v.articles, limit=100).select(*_KEYS),
         f"SELECT {_KEY} FROM articles ORDER BY timestamp DESC, url LIMIT 100",
     ),
     "query_articles_where": Query(

@@ -128,7 +128,7 @@ QUERIES = {
             v.warc_records, languages=["en", "fr", "de", "es"], min_chars=100
         ).select("url", "title", "content", "source_domain", "language", "status_code"),
         rf"""WITH {_EXTRACTED}
-            SELECT url, title, left(content, 50000) AS content, guess AS language, '200' AS status_code,
+            SELECT url, title, content AS content, guess AS language, '200' AS status_code,
                    regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '^www\.', '')
                      AS source_domain
             FROM texts JOIN guessed USING (url) JOIN ({_TITLES}) USING (url)

@@ -131,6 +131,15 @@ def _labels(v: Views) -> DataFrame:
     return scan_classifications(v.spark, out)
 
 
+def _mixed_labels(v: Views) -> DataFrame:
+    """Every url also with a failed call, every other one with an answer that was none."""
+    out = _new(v, "labels")
+    failed = v.articles.select("url", F.lit("error").alias("category"))
+    none = v.articles.filter("doc_id % 2 = 0").select("url", F.lit("unknown").alias("category"))
+    write_classifications(v.labels.unionByName(failed).unionByName(none), out)
+    return scan_classifications(v.spark, out)
+
+
 def _run_labelling(v: Views) -> DataFrame:
     old = _new(v, "labels")
     write_classifications(v.labels.filter(F.col("category").isNotNull()), old)
@@ -146,6 +155,14 @@ def _cdx(v: Views) -> DataFrame:
     return scan_cdx(v.spark, out)
 
 
+def _cdx_unnamed(v: Views) -> DataFrame:
+    """Lines as an index answers them: the crawl is named by the archive only."""
+    out = _new(v, "index")
+    lines = v.cdx.select("url", F.concat("crawl_id", F.lit("/"), "filename").alias("filename"), "timestamp", "offset", "length")
+    lines.withColumns({c: F.col(c).cast("string") for c in ("offset", "length")}).write.json(out)
+    return scan_cdx(v.spark, out)
+
+
 def _progress(v: Views) -> DataFrame:
     """Marking everything twice changes nothing for readers of distinct keys."""
     pairs, files = _new(v, "pairs"), _new(v, "files")
@@ -263,11 +280,20 @@ QUERIES = {
     ),
     "export_dataset": Query(_dataset, f"SELECT {_A} FROM hashed"),
     "scan_classifications": Query(_labels, "SELECT url, max(category) AS category FROM old_labels GROUP BY url"),
+    "scan_classifications_mixed": Query(
+        _mixed_labels,
+        """SELECT url, coalesce(max(CASE WHEN category NOT IN ('error', 'unknown') THEN category END),
+                                max(CASE WHEN doc_id % 2 = 0 THEN 'unknown' ELSE 'error' END)) AS category
+           FROM articles LEFT JOIN old_labels USING (url) GROUP BY url""",
+    ),
     "write_classifications": Query(
         _run_labelling,
         f"WITH {_SCORED}, {_MERGED} SELECT category, count(url) AS count FROM articles LEFT JOIN merged USING (url) GROUP BY category",
     ),
     "scan_cdx": Query(_cdx, 'SELECT crawl_id, url, filename, timestamp, "offset", length FROM cdx'),
+    "scan_cdx_unnamed": Query(
+        _cdx_unnamed, """SELECT crawl_id, url, concat(crawl_id, '/', filename) AS filename, timestamp, "offset", length FROM cdx"""
+    ),
     "save_progress": Query(
         _progress,
         """SELECT crawl_id, domain_pattern, articles_inserted, files FROM ledger_pairs JOIN
@@ -286,7 +312,7 @@ QUERIES = {
                        PARTITION BY md5(trim(regexp_replace(lower(content), '\s+', ' ', 'g'))) ORDER BY timestamp, url) AS rn
                      FROM texts JOIN guessed USING (url) JOIN ({_TITLES}) USING (url) JOIN pages_in USING (url)
                      WHERE length(content) >= 100 AND guess IN ('en', 'de'))
-            SELECT url, title, left(content, 50000) AS content,
+            SELECT url, title, content,
                    regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '^www\.', '') AS source_domain,
                    crawl_id, timestamp, language, '200' AS status_code,
                    strftime(strptime(timestamp, '%Y%m%d%H%M%S'), '%Y-%m-%d %H:%M:%S') AS publish_date,

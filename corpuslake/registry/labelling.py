@@ -26,8 +26,7 @@ _PICK = "CASE WHEN greatest(n0, n1, n2, n3) = 0 THEN 'miscellaneous' " + " ".joi
     f"WHEN n{i} = greatest(n0, n1, n2, n3) THEN '{name}'" for i, name in enumerate(TERMS)
 ) + " END"
 _SCORED = f"scored AS (SELECT url, {_PICK} AS category FROM (SELECT url, {_SCORES} FROM articles))"
-_MERGED = """merged AS (SELECT url, max(category) AS category FROM old_labels GROUP BY url
-                        HAVING max(category) IS NOT NULL
+_MERGED = """merged AS (SELECT url, category FROM old_labels WHERE category IS NOT NULL
                         UNION ALL SELECT * FROM scored ANTI JOIN
                           (SELECT url FROM old_labels WHERE category IS NOT NULL) USING (url))"""
 
@@ -64,7 +63,7 @@ QUERIES = {
            SELECT url, category FROM done UNION ALL
            SELECT url, CASE WHEN contains(content, 'zukeit') THEN 'error'
                             WHEN contains(content, ' the ') THEN 'english' ELSE 'unknown' END
-           FROM (SELECT url, left(content, 4000) AS content FROM articles) ANTI JOIN done USING (url)""",
+           FROM articles ANTI JOIN done USING (url)""",
     ),
     "merge_classifications": Query(
         lambda v: k.merge_classifications(
@@ -83,6 +82,12 @@ QUERIES = {
     ),
     "build_prompt": Query(
         lambda v: v.articles.select("url", build_prompt("title", "content", ["health", "border"]).alias("prompt")),
+        r"""SELECT url, concat('You are a news article classifier. Classify the following article into exactly ONE of these categories:',
+              E'\n\n- health\n- border\n\nArticle Title: ', title, E'\n\nArticle Content:\n',
+              content, E'\n\nRespond with ONLY the category name, nothing else.') AS prompt FROM articles""",
+    ),
+    "build_prompt_short": Query(
+        lambda v: v.articles.select("url", build_prompt("title", "content", ["health", "border"], 4000).alias("prompt")),
         r"""SELECT url, concat('You are a news article classifier. Classify the following article into exactly ONE of these categories:',
               E'\n\n- health\n- border\n\nArticle Title: ', title, E'\n\nArticle Content:\n',
               CASE WHEN length(content) > 4000 THEN concat(left(content, 4000), '...') ELSE content END,

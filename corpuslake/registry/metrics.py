@@ -26,6 +26,23 @@ def _changes_sql(table: str) -> str:
       WHERE changed OR check_number % 6 = 0"""
 
 
+def _on_built(queries: dict[str, Query]) -> dict[str, Query]:
+    """The metrics by day once more, over dates that have a time: the same SQL must hold."""
+    def run(name: str):
+        return lambda v: queries[name].run(_Built(v))
+
+    by_day = [
+        "temporal_salience", "articles_per_day", "articles_per_source_day", "coverage_statistics", "trend_daily",
+        "rolling_7", "rolling_7_by_source", "pivot_day_source", "sections_union",
+    ]
+    return {f"{name}_built": Query(run(name), queries[name].sql) for name in by_day}
+
+
+class _Built:
+    def __init__(self, views) -> None:
+        self.articles = views.built
+
+
 QUERIES = {
     "total_count": Query(lambda v: m.total_count(v.articles), "SELECT count(*) AS count FROM articles"),
     "stats_by_source": Query(
@@ -152,7 +169,13 @@ QUERIES = {
         lambda v: e.error_samples(v.errors, order=("at", "event_id")).select("error_type", "message", "event_id"),
         """SELECT error_type, message, event_id FROM
              (SELECT *, row_number() OVER (PARTITION BY error_type ORDER BY seen_at, event_id) AS rn FROM errors)
-           WHERE rn = 1 ORDER BY seen_at, event_id LIMIT 5""",
+           WHERE rn = 1""",
+    ),
+    "error_samples_two": Query(
+        lambda v: e.error_samples(v.errors, 2, order=("at", "event_id")).select("error_type", "message", "event_id"),
+        """SELECT error_type, message, event_id FROM
+             (SELECT *, row_number() OVER (PARTITION BY error_type ORDER BY seen_at, event_id) AS rn FROM errors)
+           WHERE rn = 1 ORDER BY seen_at, event_id LIMIT 2""",
     ),
     "status_changes": Query(
         lambda v: monitor.status_changes(v.checks).drop("ts"), _changes_sql("checks")
@@ -162,3 +185,4 @@ QUERIES = {
         _changes_sql("user_checks"),
     ),
 }
+QUERIES |= _on_built(QUERIES)

@@ -6,6 +6,7 @@ import gzip
 import re
 from collections.abc import Iterator
 from functools import cached_property
+from itertools import accumulate
 
 import pandas as pd
 from pyarrow import fs
@@ -63,6 +64,13 @@ class Views:
     def articles(self) -> DataFrame:
         return self.as_articles(self.table("documents"))
 
+    @cached_property
+    def built(self) -> DataFrame:
+        """Articles as a build stores them: the publish date has a time of day."""
+        time = F.concat(F.lit(" "), _two(F.col("doc_id") % 24), F.lit(":30:45"))
+        dated = F.when(F.col("publish_date") == "", "").otherwise(F.concat("publish_date", time))
+        return self.articles.withColumn("publish_date", dated)
+
     @cached_property
     def hashed(self) -> DataFrame:
         return with_content_hash(self.articles)
@@ -195,7 +203,7 @@ class Views:
                     members = [gzip.compress(m) for m in batch["member"]]
                     lengths = [len(m) for m in members]
                     out.write(b"".join(members))
-                    offsets = [at + sum(lengths[:i]) for i in range(len(lengths))]
+                    offsets = list(accumulate(lengths[:-1], initial=at))
                     at += sum(lengths)
                     index = batch[["crawl_id", "url", "timestamp"]]
                     yield index.assign(filename=name, offset=offsets, length=lengths)

@@ -60,6 +60,12 @@ LEDGER_FILES = StructType(
         StructField("completed_at", TimestampType()),
     ]
 )
+# What dates and keywords the work was done for.
+SELECTION = StructField("selection", StringType())
+FUNNEL = StructType(
+    [StructField("crawl_id", StringType()), StructField("domain_pattern", StringType())]
+    + [StructField(c, LongType()) for c in ("urls_found", "keyword_urls", "files", "extracted", "inserted", "duplicates", "batch_id")]
+)
 CHECKPOINT = StructType(
     [
         StructField("completed_crawl_domain_pairs", ArrayType(StringType())),

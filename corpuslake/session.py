@@ -1,6 +1,5 @@
 """Session helpers: where intermediate tables go."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -9,12 +8,7 @@ from pyspark.sql import SparkSession
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for an intermediate table, on storage that every executor can reach.
 
-    The parent is ``spark.checkpoint.dir``. A machine-local folder is used only on a local master
-    where that setting is missing.
+    The parent is ``spark.checkpoint.dir``; where that is not set, a folder of the warehouse.
     """
-    parent = spark.conf.get("spark.checkpoint.dir", None)
-    if not parent:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        parent = tempfile.mkdtemp(prefix="corpuslake-")
+    parent = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{parent.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -34,6 +34,12 @@ def conform(rows: DataFrame) -> DataFrame:
     return with_content_hash(rows.select(*fields)).select(*ARTICLE_COLUMNS)
 
 
+def next_batch_id(stored: DataFrame) -> int:
+    """One more than the largest batch id, 0 for an empty table."""
+    last = stored.agg(F.max("batch_id")).first()[0]
+    return 0 if last is None else last + 1
+
+
 def append_articles(rows: DataFrame, path: str, batch_id: int) -> None:
     """Append by source.
 
@@ -47,19 +53,19 @@ def append_articles(rows: DataFrame, path: str, batch_id: int) -> None:
     )
 
 
-def insert_batch(rows: DataFrame, path: str, batch_id: int) -> BatchResult:
+def insert_batch(rows: DataFrame, path: str, batch_id: int | None = None) -> BatchResult:
     """Append the rows whose content is new, one per content hash (earliest timestamp, then url).
 
     The batch is first written to shared storage: what produced it runs once, and a lost executor costs
-    a read instead. Inserting the same rows again inserts nothing. One writer at a time: plain Parquet
-    has no locks.
+    a read instead. Inserting the same rows again inserts nothing. Without ``batch_id`` the next free one is
+    taken. One writer at a time: plain Parquet has no locks.
     """
     stage = scratch_path(rows.sparkSession, "stage")
     conform(rows).write.parquet(stage)
     return insert_staged(rows.sparkSession.read.schema(ARTICLES).parquet(stage), path, batch_id)
 
 
-def insert_staged(staged: DataFrame, path: str, batch_id: int) -> BatchResult:
+def insert_staged(staged: DataFrame, path: str, batch_id: int | None = None) -> BatchResult:
     """``insert_batch`` for rows that lie in Parquet files already; ``staged`` reads them, filtered or not.
 
     1. The winners are found on narrow columns and written as (file, row) places. ``min`` of a struct is
@@ -68,14 +74,19 @@ def insert_staged(staged: DataFrame, path: str, batch_id: int) -> BatchResult:
     """
     spark = staged.sparkSession
     init_articles(spark, path)
+    if batch_id is None:
+        batch_id = next_batch_id(scan_articles(spark, path))
     places = scratch_path(spark, "places")
     staged = staged.select(
         *ARTICLE_COLUMNS, F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
     )
     place = F.struct("timestamp", "url", "_file", "_row")
-    winners = staged.groupBy("content_hash").agg(F.min(place).alias("w"))
+    first = scratch_path(spark, "winners")
+    winners = staged.groupBy("content_hash").agg(F.min(place).alias("w")).select("content_hash", "w._file", "w._row")
+    winners.write.parquet(first)
+    winners = spark.read.schema("content_hash string, _file string, _row long").parquet(first)
     new = anti_existing_hash(winners, scan_articles(spark, path), rows_are_cheap=True)
-    new.select("w._file", "w._row").write.parquet(places)
+    new.select("_file", "_row").write.parquet(places)
 
     fresh = spark.read.schema("_file string, _row long").parquet(places)
     received, inserted = staged.count(), fresh.count()

@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import CLASSIFICATIONS, LEDGER_FILES, LEDGER_PAIRS, QUARANTINE
+from ..schemas import CLASSIFICATIONS, LEDGER_FILES, LEDGER_PAIRS, QUARANTINE, SELECTION
+
+
+# Work is done for one selection of dates and keywords; a ledger without that column is about everything.
+def _with_selection(rows: DataFrame) -> DataFrame:
+    return rows if "selection" in rows.columns else rows.withColumn("selection", F.lit(""))
 
 
 def _append(rows: DataFrame, path: str, columns: list[str], stamp: str | None = None) -> None:
@@ -16,12 +21,12 @@ def _append(rows: DataFrame, path: str, columns: list[str], stamp: str | None =
 
 def mark_pairs(pairs: DataFrame, path: str) -> None:
     """pairs: crawl_id, domain_pattern, articles_inserted."""
-    _append(pairs, path, LEDGER_PAIRS.names, "completed_at")
+    _append(_with_selection(pairs), path, [*LEDGER_PAIRS.names, SELECTION.name], "completed_at")
 
 
 def mark_files(files: DataFrame, path: str) -> None:
     """files: crawl_id, domain_pattern, filename."""
-    _append(files, path, LEDGER_FILES.names, "completed_at")
+    _append(_with_selection(files), path, [*LEDGER_FILES.names, SELECTION.name], "completed_at")
 
 
 def quarantine(errors: DataFrame, path: str) -> None:

@@ -10,9 +10,11 @@ from pyspark.sql.types import StructType
 from ..schemas import (
     CHECKPOINT,
     CLASSIFICATIONS,
+    FUNNEL,
     LEDGER_FILES,
     LEDGER_PAIRS,
     QUARANTINE,
+    SELECTION,
     STORED_ARTICLES,
 )
 
@@ -52,11 +54,16 @@ def scan_classifications(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_ledger_pairs(spark: SparkSession, path: str) -> DataFrame:
-    return table_or_empty(spark, path, LEDGER_PAIRS)
+    return table_or_empty(spark, path, StructType([*LEDGER_PAIRS.fields, SELECTION]))
 
 
 def scan_ledger_files(spark: SparkSession, path: str) -> DataFrame:
-    return table_or_empty(spark, path, LEDGER_FILES)
+    return table_or_empty(spark, path, StructType([*LEDGER_FILES.fields, SELECTION]))
+
+
+def scan_funnel(spark: SparkSession, path: str) -> DataFrame:
+    """Numbers of each build per pair."""
+    return table_or_empty(spark, path, FUNNEL)
 
 
 def scan_quarantine(spark: SparkSession, path: str) -> DataFrame:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import io
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import islice
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,10 @@ from ..schemas import WARC_RECORDS
 from .warc_format import UNREADABLE, read_records
 
 _COLUMNS = WARC_RECORDS.names
+_ARROW = pa.schema([
+    (f.name, pa.map_(pa.string(), pa.string()) if f.name == "headers" else pa.binary() if f.name == "payload" else pa.string())
+    for f in WARC_RECORDS.fields
+])
 
 
 class WarcFile(InputPartition):
@@ -38,11 +44,15 @@ class WarcReader(DataSourceReader):
         names = [f.path for f in files if f.type == fs.FileType.File and f.path.endswith((".warc", ".warc.gz"))]
         return [WarcFile(prefix + name[len(root.rstrip("/")):]) for name in sorted(names)]
 
-    def read(self, partition: WarcFile) -> Iterator[tuple]:
+    def read(self, partition: WarcFile) -> Iterator[pa.RecordBatch]:
+        """Batches of bounded size in bytes: rows would be gathered by number, whatever they weigh."""
         storage, path = fs.FileSystem.from_uri(partition.path)
         name = partition.path[len(self.path.rstrip("/")):].lstrip("/") or partition.path
         with storage.open_input_file(path) as raw:
-            yield from read_records(name, raw)
+            for rows in _packs(read_records(name, raw)):
+                columns = dict(zip(_COLUMNS, map(list, zip(*rows, strict=True)), strict=True))
+                columns["headers"] = [list(h.items()) for h in columns["headers"]]
+                yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in _ARROW], schema=_ARROW)
 
 
 class WarcDataSource(DataSource):
@@ -131,19 +141,41 @@ def _fetch(
 
 
 def _read_file_part(base: str, name: str, part: pd.DataFrame, carry: Sequence[str]) -> Iterator[tuple]:
+    """Records of the ranges, one after the other. What a range lacks or breaks off with is a record of its own, and
+    the ranges after it are still read. Without a length the first record at the offset is taken."""
     ranges = list(part[["offset", "length", *carry]].itertuples(index=False, name=None))
+
+    def failed(e: Exception, carried: Sequence) -> tuple:
+        return (name, UNREADABLE, "", "", {"error": f"{type(e).__name__}: {e}"}, "", b"", *carried)
+
     try:
         storage, path = fs.FileSystem.from_uri(f"{base.rstrip('/')}/{name}")
-        with storage.open_input_file(path) as raw:
-            for offset, length, *carried in ranges:
-                for r in read_records(name, io.BytesIO(raw.read_at(int(length), int(offset)))):
-                    yield (*r, *carried)
+        raw = storage.open_input_file(path)
     except OSError as e:
-        yield (name, UNREADABLE, "", "", {"error": f"{type(e).__name__}: {e}"}, "", b"", *ranges[0][2:])
+        for _, _, *carried in ranges:
+            yield failed(e, carried)
+        return
+    with raw:
+        for offset, length, *carried in ranges:
+            try:
+                if pd.isna(offset):
+                    raise ValueError("index row without an offset")
+                if pd.isna(length):
+                    raw.seek(int(offset))
+                    yield from ((*r, *carried) for r in islice(read_records(name, raw), 1))
+                else:
+                    member = io.BytesIO(raw.read_at(int(length), int(offset)))
+                    yield from ((*r, *carried) for r in read_records(name, member))
+            except (OSError, ValueError) as e:
+                yield failed(e, carried)
+
+
+def _frames(records: Iterable[tuple], columns: list[str] = _COLUMNS) -> Iterator[pd.DataFrame]:
+    """Records packed into frames of bounded size, so that a task holds little at a time."""
+    return (pd.DataFrame(rows, columns=columns) for rows in _packs(records))
 
 
-def _frames(records: Iterable[tuple], columns: list[str] = _COLUMNS, max_bytes: int = 64 << 20) -> Iterator[pd.DataFrame]:
-    """Records packed into frames of bounded size, so that a task holds little at a time."""
+def _packs(records: Iterable[tuple], max_bytes: int = 64 << 20) -> Iterator[list[tuple]]:
     payload = _COLUMNS.index("payload")
     rows: list[tuple] = []
     size = 0
@@ -151,10 +183,10 @@ def _frames(records: Iterable[tuple], columns: list[str] = _COLUMNS, max_bytes:
         rows.append(r)
         size += len(r[payload])
         if size >= max_bytes:
-            yield pd.DataFrame(rows, columns=columns)
+            yield rows
             rows, size = [], 0
     if rows:
-        yield pd.DataFrame(rows, columns=columns)
+        yield rows
 
 
 def unreadable(records: DataFrame) -> DataFrame:

@@ -58,12 +58,46 @@ def _header_block(stream: BinaryIO) -> dict[str, str]:
     return headers
 
 
+def unchunked(body: bytes) -> bytes:
+    """A body sent in chunks, put together. Crawlers often store it that way already: then it stays as it is."""
+    out, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        try:
+            size = int(body[at:end].split(b";")[0], 16) if end >= 0 else -1
+        except ValueError:
+            return body
+        if size < 0 or end + 2 + size > len(body):
+            return body
+        if size == 0:
+            return b"".join(out)
+        out.append(body[end + 2 : end + 2 + size])
+        at = end + 2 + size + 2
+
+
+def unpacked(body: bytes, coding: str) -> bytes:
+    """A gzip or deflate body unpacked; as it is where it turns out to be neither."""
+    tries = {"gzip": (31,), "x-gzip": (31,), "deflate": (15, -15)}.get(coding, ())
+    for bits in tries:
+        try:
+            return zlib.decompressobj(bits).decompress(body)
+        except zlib.error:
+            continue
+    return body
+
+
 def split_http(block: bytes) -> tuple[str, bytes]:
-    """Status code and body of an HTTP response; ('', block) if it is none."""
+    """Status code and body of an HTTP response, chunks and compression undone; ('', block) if it is none."""
     if not block.startswith(b"HTTP/"):
         return "", block
     head, _, body = block.partition(b"\r\n\r\n")
-    first = head.split(b"\r\n", 1)[0].split()
+    lines = head.split(b"\r\n")
+    fields = {k.strip().lower(): v.strip().lower().decode("ascii", "replace") for k, _, v in (x.partition(b":") for x in lines[1:])}
+    if "chunked" in fields.get(b"transfer-encoding", ""):
+        body = unchunked(body)
+    for coding in reversed(fields.get(b"content-encoding", "").split(",")):
+        body = unpacked(body, coding.strip())
+    first = lines[0].split()
     return (first[1].decode("ascii", "replace") if len(first) > 1 else ""), body
 
 
@@ -78,15 +112,16 @@ def read_records(filename: str, raw: BinaryIO) -> Iterator[Record]:
             if not line.startswith(b"WARC/"):
                 raise ValueError("no WARC version line")
             headers = _header_block(stream)
-            size = int(headers.get("Content-Length", "0"))
+            named = {k.lower(): v for k, v in headers.items()}
+            size = int(named.get("content-length", "0"))
             block = stream.read(size)
             if len(block) < size:
                 raise EOFError("record cut short")
-            kind = headers.get("WARC-Type", "")
+            kind = named.get("warc-type", "")
             status, payload = split_http(block) if kind == "response" else ("", block)
             yield (
-                filename, kind, headers.get("WARC-Target-URI", "").strip("<>"),
-                headers.get("WARC-Date", ""), headers, status, payload,
+                filename, kind, named.get("warc-target-uri", "").strip("<>"),
+                named.get("warc-date", ""), headers, status, payload,
             )
     except (OSError, EOFError, ValueError, zlib.error) as e:
         yield filename, UNREADABLE, "", "", {"error": f"{type(e).__name__}: {e}"}, "", b""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedup import with_content_hash
+from ..operators.metrics import by_day
 from ..operators.monitor import status_changes
 from ..sinks.articles import conform, insert_batch
 from ..sources.tables import init_articles
@@ -40,8 +41,8 @@ def stream_dedup(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 
 def stream_daily_counts(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Articles per publish date, kept up to date: each micro-batch replaces the small result table."""
-    daily = rows.groupBy("publish_date").agg(F.count("url").alias("article_count"))
+    """Articles per publish day, kept up to date: each micro-batch replaces the small result table."""
+    daily = by_day(rows).groupBy("publish_date").agg(F.count("url").alias("article_count"))
 
     def replace(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/version={batch_id}")
@@ -91,7 +92,8 @@ def advance_status(batch: DataFrame, before: DataFrame | None, heartbeat: int =
         before = seen.select("service", F.lit(None).cast("string").alias("status"), F.lit(0).cast("long").alias("checks"))
         before = before.limit(0)
     old = before.select("service", F.col("status").alias("_last"), F.col("checks").alias("_done"))
-    rows = rows.join(old, "service", "left").withColumn(
+    # A check without a service is of the service NULL; its state must be found again like any other.
+    rows = rows.join(old.withColumnRenamed("service", "_service"), F.col("service").eqNullSafe(F.col("_service")), "left").drop("_service").withColumn(
         "previous", F.when(F.col("check_number") == 1, F.col("_last")).otherwise(F.col("previous"))
     ).withColumn("check_number", F.col("check_number") + F.coalesce("_done", F.lit(0)))
     changed = ~F.col("status").eqNullSafe(F.col("previous"))
@@ -100,8 +102,9 @@ def advance_status(batch: DataFrame, before: DataFrame | None, heartbeat: int =
         .withColumn("recovered", changed & (F.col("status") == "UP") & (F.coalesce("previous", F.lit("")) == "DOWN"))
         .filter(changed | (F.col("check_number") % heartbeat == 0)).drop("_last", "_done")
     )
-    state = seen.join(old, "service", "full_outer").select(
-        "service",
+    both = F.col("service").eqNullSafe(F.col("_service"))
+    state = seen.withColumn("_seen", F.lit(True)).join(old.withColumnRenamed("service", "_service"), both, "full_outer").select(
+        F.when(F.col("_seen"), F.col("service")).otherwise(F.col("_service")).alias("service"),
         F.coalesce("status", "_last").alias("status"),
         (F.coalesce("checks", F.lit(0)) + F.coalesce("_done", F.lit(0))).alias("checks"),
     )

@@ -126,8 +126,8 @@ def test_date_range_as_strings_and_as_days(make_articles):
         dict(url="3", publish_date=""), dict(url="4", publish_date="2020-03-01"),
     )
     got = lambda **k: {r["url"] for r in dicts(a.articles_by_date_range(rows, "2020-03-01", "2020-04-30", **k))}
-    assert got() == {"1", "4"}
-    assert got(inclusive_day=True) == {"1", "2", "4"}
+    assert got(inclusive_day=False) == {"1", "4"}
+    assert got() == {"1", "2", "4"}
 
 
 def test_hash_exists(make_articles):

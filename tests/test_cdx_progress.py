@@ -155,6 +155,7 @@ def test_error_reports(spark, tmp_path):
     assert errors.error_total(stored).first()["count"] == 10
     assert dicts(errors.error_counts(stored))[0] == {"error_type": "b", "count": 3}
     assert errors.errors_by_type(stored, "a").count() == 2
-    samples = dicts(errors.error_samples(stored))
+    assert errors.error_samples(stored).count() == 7
+    samples = dicts(errors.error_samples(stored, 5))
     assert [r["error_type"] for r in samples] == ["b", "a", "c", "d", "e"]
     assert samples[0]["message"] == "m0" and samples[1]["context"] == {"url": "1"}

@@ -108,8 +108,9 @@ def test_language(spark):
 def test_prompt(spark):
     long = "x" * 5000
     row = spark.createDataFrame([("T", long), (None, None)], "t string, c string").select(
-        f.build_prompt("t", "c", ["a", "b"]).alias("p")
+        f.build_prompt("t", "c", ["a", "b"], 4000).alias("p"), f.build_prompt("t", "c", ["a", "b"]).alias("whole")
     ).collect()
+    assert "Content:\n" + long + "\n\nRespond" in row[0]["whole"]
     assert "- a\n- b\n\nArticle Title: T\n\nArticle Content:\n" + "x" * 4000 + "...\n\nRespond" in row[0]["p"]
     assert "Article Title: \n" in row[1]["p"]
 
