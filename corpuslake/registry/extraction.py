@@ -6,6 +6,8 @@ from ..functions import detect_language
 from ..functions.language import FUNCTION_WORDS
 from ..operators import cdx as c
 from ..operators import extract as x
+from ..session import scratch_path
+from ..sources.warc import read_ranges, scan_warc
 from . import Query
 
 def _outline():
@@ -70,9 +72,24 @@ _EXTRACTED = f"""{_BLOCKS},
             JOIN (SELECT url, {_text('html')} AS w FROM visible) USING (url)),
   guessed AS ({_language('texts')})"""
 
+_READ_BACK = """SELECT 'response' AS warc_type, url AS target_uri, '200' AS status_code,
+                       strftime(strptime(timestamp, '%Y%m%d%H%M%S'), '%Y-%m-%dT%H:%M:%SZ') AS warc_date, html
+                FROM cdx JOIN (SELECT page_id, html FROM pages) USING (page_id)"""
+
+
+def _read_back(v, read):
+    """Pages written as gzip archives and read again."""
+    base = scratch_path(v.spark, "archives")
+    return read(v.written_archives(base), base).select(
+        "warc_type", "target_uri", "status_code", "warc_date", F.decode("payload", "utf-8").alias("html")
+    )
+
+
 QUERIES = {
     "decode_utf8": Query(
-        lambda v: x.with_outline(v.pages.select("url", F.col("html").cast("binary").alias("html"))).select(
+        lambda v: x.with_outline(v.pages.select(
+            "url", F.concat(F.unhex(F.lit("FFC3")), F.col("html").cast("binary"), F.unhex(F.lit("E282"))).alias("html")
+        )).select(
             "url", x.extract_title(_outline()).alias("title")
         ),
         _TITLES,
@@ -84,6 +101,10 @@ QUERIES = {
     "extract_main_text": Query(
         lambda v: x.with_outline(v.pages).select("url", x.extract_main_text(_outline(), 0).alias("content")), _PAGES
     ),
+    "extract_main_text_100": Query(
+        lambda v: x.with_outline(v.pages).select("url", x.extract_main_text(_outline()).alias("content")),
+        f"WITH {_EXTRACTED} SELECT url, content FROM texts",
+    ),
     "longest_block": Query(
         lambda v: x.with_outline(v.pages).select("url", x.longest_block(_outline()).alias("block")),
         f"WITH {_BLOCKS} SELECT url, block FROM pages LEFT JOIN longest USING (url)",
@@ -115,6 +136,12 @@ QUERIES = {
                   strftime(strptime(timestamp, '%Y%m%d%H%M%S'), '%Y-%m-%dT%H:%M:%SZ') AS warc_date,
                   '200' AS status_code, html FROM cdx JOIN (SELECT page_id, html FROM pages) USING (page_id)""",
     ),
+    "scan_warc_files": Query(
+        lambda v: _read_back(v, lambda index, base: scan_warc(v.spark, base)), _READ_BACK
+    ),
+    "read_ranges_files": Query(
+        lambda v: _read_back(v, lambda index, base: read_ranges(index, base, 8)), _READ_BACK
+    ),
     "record_filter": Query(
         lambda v: v.warc_records.filter(F.col("warc_type") == "response").select("target_uri"),
         "SELECT url AS target_uri FROM pages",

@@ -19,15 +19,15 @@ def _pairs(v: Views):
 
 def _funnel(v: Views):
     index = v.matched.withColumn("keyword_hit", lower_contains("url", ["/en/", "/de/"]))
-    pages = v.page_texts.select("page_id", "content", "language").join(
+    pages = v.page_texts.select("doc_id", "page_id", "content", "language").join(
         index.filter("keyword_hit").select("page_id", *_PAIR, "timestamp", "url"), "page_id"
     )
     good = with_content_hash(extract.quality_gate(pages, languages=["en", "de"]))
     first = first_per_key(
-        good.select("content_hash", "timestamp", "url", "page_id", *_PAIR), ["content_hash"], ["timestamp", "url", *_PAIR]
+        good.select("content_hash", "timestamp", "url", "doc_id", *_PAIR), ["content_hash"], ["timestamp", "url", *_PAIR, "doc_id"]
     )
-    marked = good.select("page_id", *_PAIR).join(
-        first.select("page_id", *_PAIR, F.lit(True).alias("inserted")), ["page_id", *_PAIR], "left"
+    marked = good.select("doc_id", *_PAIR).join(
+        first.select("doc_id", *_PAIR, F.lit(True).alias("inserted")), ["doc_id", *_PAIR], "left"
     ).na.fill(False, ["inserted"])
     return progress.build_funnel(index, marked)
 
@@ -89,7 +89,7 @@ QUERIES = {
         r"""WITH idx AS (SELECT *, contains(lower(url), '/en/') OR contains(lower(url), '/de/') AS hit FROM matched),
             good AS (SELECT i.*, row_number() OVER (
                        PARTITION BY md5(trim(regexp_replace(lower(p.content), '\s+', ' ', 'g')))
-                       ORDER BY i.timestamp, i.url, i.crawl_id, i.domain_pattern) AS rn
+                       ORDER BY i.timestamp, i.url, i.crawl_id, i.domain_pattern, p.doc_id) AS rn
                      FROM idx i JOIN page_texts p USING (page_id)
                      WHERE hit AND length(p.content) >= 100 AND p.language IN ('en', 'de')),
             s AS (SELECT crawl_id, domain_pattern, count(*) AS urls_found, count(*) FILTER (hit) AS keyword_urls,

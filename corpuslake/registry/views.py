@@ -130,10 +130,11 @@ class Views:
 
     @cached_property
     def page_texts(self) -> DataFrame:
-        """A document text for each page url."""
-        texts = self.table("documents").select(F.col("doc_id").alias("page_id"), "text", "lang")
+        """Every document as a text of some page; a page has several."""
+        page = F.col("doc_id") % self.pages.count()
+        texts = self.table("documents").select("doc_id", page.alias("page_id"), "text", "lang")
         return self.cdx.join(texts, "page_id").select(
-            "page_id", "url", "filename", "crawl_id", F.col("text").alias("content"), F.col("lang").alias("language")
+            "doc_id", "page_id", "url", "filename", "crawl_id", F.col("text").alias("content"), F.col("lang").alias("language")
         )
 
     @cached_property
@@ -169,6 +170,13 @@ class Views:
             "check_id",
         )
 
+    def arriving(self, name: str, parts: list[Column]) -> DataFrame:
+        """A table as a stream of files that came one after the other, one per micro-batch."""
+        path, given = scratch_path(self.spark, name), self.table(name)
+        for part in parts:
+            given.filter(part).coalesce(1).write.mode("append").parquet(path)
+        return self.spark.readStream.schema(given.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
     def packed_pages(self) -> DataFrame:
         """Pages as archive records: (filename, member) and the index fields but for the byte range."""
         head = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"), "html")
@@ -253,8 +261,8 @@ _CTES = {
                     f"FROM by_host WHERE timestamp < '{EARLIER}' GROUP BY ALL",
     "ledger_files": f"SELECT DISTINCT crawl_id, domain_pattern, filename FROM by_host WHERE timestamp < '{EARLIER}'",
     "missing": "SELECT * FROM pairs ANTI JOIN ledger_pairs USING (crawl_id, domain_pattern)",
-    "page_texts": "SELECT page_id, url, filename, crawl_id, text AS content, lang AS language "
-                  "FROM cdx JOIN documents ON doc_id = page_id",
+    "page_texts": "SELECT doc_id, page_id, url, filename, crawl_id, text AS content, lang AS language "
+                  "FROM cdx JOIN documents ON doc_id % (SELECT count(*) FROM pages) = page_id",
     "old_labels": "SELECT url, CASE WHEN toxic = 1 THEN 'error' WHEN quality = 1 THEN 'health_outcomes' END AS category "
                   "FROM labels JOIN articles USING (doc_id)",
     "errors": "SELECT event_type AS error_type, props AS message, ts AS seen_at, event_id FROM events",

@@ -17,12 +17,13 @@ def stream_ingest(rows: DataFrame, articles_path: str, checkpoint: str) -> Strea
     """Store the new content of each micro-batch and stop when the input is used up.
 
     Deduplication is against the stored table, so the stream keeps no state, however long it runs. A
-    replayed micro-batch finds its content stored and adds nothing.
+    replayed micro-batch finds its content stored and adds nothing. Batches take the next free id of the table, which
+    builds and other streams share.
     """
     init_articles(rows.sparkSession, articles_path)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        insert_batch(batch, articles_path, batch_id)
+        insert_batch(batch, articles_path)
 
     return (
         rows.writeStream.foreachBatch(store)
