@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator, Sequence
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +19,8 @@ from .tasks import utf8
 K1, B = 1.2, 0.75
 #: Share of an item's own score that a passage must reach to be retrieved.
 THRESHOLD = 0.6
+#: Share of an item's score that its least telling terms may make up; they take no part in opening blocks.
+TRIM = 0.4
 #: Words per shingle, share of an item's shingles, and of each of its halves, that a passage must have.
 SHINGLE, OVERLAP, HALF = 5, 0.8, 0.5
 #: Items per block of the index; a block is opened only if its greatest impacts could reach the threshold.
@@ -55,14 +57,28 @@ class Index:
                 item.append(k)
                 impact.append(x / whole)
         order = np.lexsort((item, term))
-        term, self.item, self.impact = np.array(term, np.int64)[order], np.array(item, np.int64)[order], np.array(impact)[order]
-        self.start = np.searchsorted(term, np.arange(len(self.terms) + 1))
+        term, item, impact = np.array(term, np.int64)[order], np.array(item, np.int64)[order], np.array(impact)[order]
+        names = list(self.terms)
         self.blocks = -(-len(texts) // BLOCK)
-        key = term * max(1, self.blocks) + self.item // BLOCK
+        self.postings: list[dict[bytes, list[tuple[int, float]]]] = [{} for _ in range(self.blocks)]
+        for t, i, x in zip(term.tolist(), item.tolist(), impact.tolist(), strict=True):
+            self.postings[i // BLOCK].setdefault(names[t], []).append((i, x))
+        # The terms of an item but for its least ones, whose sum stays within TRIM: common words hardly remain. What
+        # reaches the threshold reaches it less TRIM by the others.
+        by_item = np.lexsort((impact, item))
+        sums = np.cumsum(impact[by_item])
+        first = np.searchsorted(item[by_item], np.arange(len(texts)))
+        before = np.concatenate([[0.0], sums])[first]
+        telling = np.zeros(len(term), bool)
+        telling[by_item] = sums - before[item[by_item]] > TRIM
+        kept = np.unique(term[telling])
+        self.telling = {names[t]: k for k, t in enumerate(kept)}
+        own, block, impact = np.searchsorted(kept, term[telling]), item[telling] // BLOCK, impact[telling]
+        key = own * max(1, self.blocks) + block
         first = np.nonzero(np.diff(key, prepend=-1))[0]
-        self.block = self.item[first] // BLOCK
-        self.block_max = np.maximum.reduceat(self.impact, first) if len(first) else np.zeros(0)
-        self.block_start = np.searchsorted(term[first], np.arange(len(self.terms) + 1))
+        self.block = block[first]
+        self.block_max = np.maximum.reduceat(impact, first) if len(first) else np.zeros(0)
+        self.block_start = np.searchsorted(own[first], np.arange(len(kept) + 1))
 
     def verified(self, item: int, passage: list[bytes]) -> float:
         """Share of the item's shingles in the passage, 0 if it or one of the item's halves falls short."""
@@ -85,44 +101,44 @@ class Index:
         per_doc = -(-counts // size)
         base = np.concatenate([[0], np.cumsum(per_doc)])
         windows = int(base[-1])
-        term = np.fromiter((self.terms.get(w, -1) for d in docs for w in d), np.int64, int(counts.sum()))
+        term = np.fromiter(map(self.telling.get, chain.from_iterable(docs), repeat(-1)), np.int64, int(counts.sum()))
         doc = np.repeat(np.arange(len(docs)), counts)
         place = np.arange(len(term)) - np.repeat(np.cumsum(counts) - counts, counts)
         known = term >= 0
         term, doc, own = term[known], doc[known], place[known] // size
         window = base[doc] + own
         before = own > 0
-        pair = np.unique(np.concatenate([window, window[before] - 1]) * len(self.terms) + np.concatenate([term, term[before]]))
-        window, term = pair // len(self.terms), pair % len(self.terms)
-        for row, cell in self._reached(window, term, windows, self.block_start, self.block, self.block_max, self.blocks):
-            at = slice(*np.searchsorted(window, [row, row + 1]))
-            for _, item in self._reached(np.zeros_like(term[at]), term[at], 1, self.start, self.item, self.impact, len(self.ids), cell):
-                which = int(np.searchsorted(base, row, "right")) - 1
-                begin = (row - int(base[which])) * size
-                overlap = self.verified(item, docs[which][begin : begin + 2 * size])
+        pair = np.unique(np.concatenate([window, window[before] - 1]) * len(self.telling) + np.concatenate([term, term[before]]))
+        for row, block in self._opened(pair // len(self.telling), pair % len(self.telling), windows):
+            which = int(np.searchsorted(base, row, "right")) - 1
+            begin = (row - int(base[which])) * size
+            passage = docs[which][begin : begin + 2 * size]
+            for item, score in self._scored(passage, block):
+                overlap = self.verified(item, passage)
                 if overlap:
-                    score = sum(float(x) for t in term[at] for k, x in self._postings(int(t)) if k == item)
                     yield which, item, score, overlap
 
-    def _postings(self, term: int):
-        at = slice(self.start[term], self.start[term + 1])
-        return zip(self.item[at].tolist(), self.impact[at].tolist(), strict=True)
-
-    @staticmethod
-    def _reached(window, term, windows, start, cell, weight, cells, block=None):
-        """(window, cell) whose summed weights reach the threshold; cells are blocks, or the items of one block."""
+    def _opened(self, window: np.ndarray, term: np.ndarray, windows: int) -> Iterator[tuple[int, int]]:
+        """(window, block) whose summed block maxima reach the threshold less what has been trimmed."""
+        start = self.block_start
         count = start[term + 1] - start[term]
         at = np.repeat(start[term] - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
         row = np.repeat(window, count)
-        if block is not None:
-            inside = cell[at] // BLOCK == block
-            at, row = at[inside], row[inside]
-        step = max(1, (1 << 23) // max(1, cells))
+        step = max(1, (1 << 23) // self.blocks)
         for low in range(0, windows, step):
             own = slice(*np.searchsorted(row, [low, low + step]))
-            sums = np.bincount((row[own] - low) * cells + cell[at[own]], weight[at[own]], min(step, windows - low) * cells)
-            for x in np.nonzero(sums >= THRESHOLD - 1e-9)[0].tolist():
-                yield low + x // cells, x % cells
+            sums = np.bincount((row[own] - low) * self.blocks + self.block[at[own]], self.block_max[at[own]])
+            for x in np.nonzero(sums >= THRESHOLD - TRIM - 1e-9)[0].tolist():
+                yield low + x // self.blocks, x % self.blocks
+
+    def _scored(self, passage: list[bytes], block: int) -> list[tuple[int, float]]:
+        """Items of the block that reach the threshold, with their scores."""
+        sums: dict[int, float] = {}
+        postings = self.postings[block]
+        for w in postings.keys() & set(passage):
+            for item, impact in postings[w]:
+                sums[item] = sums.get(item, 0.0) + impact
+        return [(i, s) for i, s in sorted(sums.items()) if s >= THRESHOLD - 1e-9]
 
 
 HITS = ArrayType(StructType([StructField("item_id", LongType()), StructField("score", DoubleType()), StructField("overlap", DoubleType())]))
