@@ -15,21 +15,31 @@ from .components import staged
 NUM, DEN = 4, 5
 #: Words are counted in this many slots of their hash; the order of the slots by count is the order of rarity.
 SLOTS = 1 << 13
-_SPLIT = r"[\x20\x09-\x0D]+"
+#: From so many words a line has a second set of parity bits.
+LONG = 64
 #: Rarest words by which a line is first held against the earliest line that has one of them.
-LEADS = 3
+LEADS = 2
 #: Bits of the filter that keeps lines without a candidate from being moved for verification.
 FILTER_BITS = 1 << 21
 
 
-def words_of(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(text), _SPLIT), "")
+def _spaced(text: Column) -> Column:
+    """Lower case, with a blank for every other white space but the line feed."""
+    out = F.lower(text)
+    for c in "\t\v\f\r":
+        out = F.replace(out, F.lit(c), F.lit(" "))
+    return out
+
+
+def words_of(spaced: Column) -> Column:
+    return F.array_remove(F.array_distinct(F.split(spaced, " ")), "")
 
 
 def rarity(docs: DataFrame, text: str) -> Column:
     """Literal array: place of each slot when slots are ordered by the number of words in all texts."""
     slot = F.xxhash64("w").bitwiseAND(F.lit(SLOTS - 1))
-    counts = docs.select(F.explode(words_of(F.col(text))).alias("w")).groupBy(slot.alias("slot")).count()
+    words = F.split(F.replace(_spaced(F.col(text)), F.lit("\n"), F.lit(" ")), " ")
+    counts = docs.select(F.explode(words).alias("w")).groupBy(slot.alias("slot")).count()
     every = docs.sparkSession.range(SLOTS).withColumnRenamed("id", "slot").join(counts, "slot", "left")
     ranked = sorted((r["count"] or 0, r["slot"]) for r in every.collect())
     place = [0] * SLOTS
@@ -48,31 +58,55 @@ def shared(a: Column, b: Column) -> Column:
     return F.ceil((a + b) * NUM / (NUM + DEN))
 
 
-def line_table(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """A row per line: document, line, word set as signature, size, parity bits and prefix."""
-    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-    order = rarity(rows, "text")
-    rows = rows.withColumn("rid", F.monotonically_increasing_id())
-    lines = rows.select("key", "rid", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
-    number = lambda w: F.call_function("shiftleft", F.get(order, F.xxhash64(w).bitwiseAND(F.lit(SLOTS - 1)).cast("int")) - SLOTS // 2, F.lit(51)).bitwiseOR(F.call_function("shiftrightunsigned", F.xxhash64(w), F.lit(13)))  # noqa: E731, E501
-    lines = lines.withColumn("set", F.sort_array(F.array_distinct(F.transform(words_of(F.coalesce("line", F.lit(""))), number))))
-    bits = F.aggregate("set", F.lit(0).cast("long"), lambda acc, t: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))))
-    more = F.aggregate("set", F.lit(0).cast("long"), lambda acc, t: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.call_function("shiftright", t, F.lit(6)).bitwiseAND(F.lit(63)).cast("int"))))
+def _split(rows: DataFrame, with_text: bool = False) -> DataFrame:
+    """A row per line of (key, text, ...): ``line_no``, ``spaced`` (the line for its words) and ``vid``, which names the
+    line by what its document is and so is the same whenever the documents are read."""
+    spaced = F.split(_spaced(F.col("text")), "\n")
+    if with_text:
+        spaced = F.arrays_zip(spaced.alias("spaced"), F.split("text", "\n").alias("line"))
+    more = [c for c in rows.columns if c not in ("key", "text")]
+    lines = rows.select("key", *more, F.xxhash64("key", "text").alias("did"), F.posexplode_outer(spaced).alias("line_no", "at"))
+    own = [F.col("at.spaced").alias("spaced"), "at.line"] if with_text else [F.col("at").alias("spaced")]
+    return lines.select("key", *more, "line_no", F.xxhash64("did", "line_no").alias("vid"), *own)
+
+
+def line_table(docs: DataFrame, with_text: bool) -> DataFrame:
+    """A row per line of (key, text): document, line, word set as signature, size, parity bits and prefix."""
+    order = rarity(docs, "text")
+    low = lambda t, bits: t.bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
+    left, right = (lambda x, n: F.call_function("shiftleft", x, n)), (lambda x, n: F.call_function("shiftright", x, n))
+    lines = _split(docs.withColumn("rid", F.monotonically_increasing_id()), with_text)
+    hashes = F.array_distinct(F.transform(F.split(F.coalesce("spaced", F.lit("")), " "), lambda w: F.xxhash64(w)))
+    lines = lines.withColumn("hashes", F.array_remove(hashes, F.xxhash64(F.lit(""))))
+    number = lambda h: left(F.get(order, low(h, 13)) - SLOTS // 2, F.lit(51)).bitwiseOR(
+        F.call_function("shiftrightunsigned", h, F.lit(13))
+    )
+    lines = lines.withColumn("set", F.sort_array(F.transform("hashes", number))).drop("hashes", "spaced")
+    # With half 0 or 1, bits of the words whose bit 6 is that: two such numbers are 128 bits of parity.
+    mark = lambda t, half: F.lit(1).cast("long") if half is None else right(t, F.lit(6)).bitwiseAND(F.lit(1)).bitwiseXOR(F.lit(1 - half))  # noqa: E731, E501
+    parity = lambda at, half=None: F.aggregate(
+        "set", F.lit(0).cast("long"), lambda acc, t: acc.bitwiseXOR(left(mark(t, half), at(t)))
+    )
     n = F.size("set")
     return lines.select(
-        "key", "rid", "line_no", F.monotonically_increasing_id().alias("lid"), "line", n.alias("n"),
-        F.xxhash64("set").alias("s1"), F.hash("set").alias("s2"), bits.alias("b1"), more.alias("b2"),
+        "key", "rid", "line_no", "vid", F.monotonically_increasing_id().alias("lid"), n.alias("n"),
+        F.xxhash64("set").alias("s1"), F.hash("set").alias("s2"), F.when(n * NUM < LONG * DEN, parity(lambda t: low(t, 6))).otherwise(0).alias("b1"),
+        *[F.when(n >= LONG, parity(lambda t: low(right(t, F.lit(7)), 6), k)).otherwise(0).alias(f"b{k + 2}") for k in (0, 1)],
         F.transform(F.slice("set", 1, F.greatest(prefix_size(n), F.lit(1)).cast("int")), lambda t: F.hash(t)).alias("prefix"),
+        *(["line"] if with_text else []),
     )
 
 
-def _alike(a: str, b: str) -> Column:
+def _alike(a: str, b: str, long_too: bool = True) -> Column:
     """Length filter, and no more differing parity bits than matching sets have differing words."""
-    n, m = F.col(f"{a}_n"), F.col(f"{b}_n")
+    size = lambda c: F.abs(F.col(f"{c}_m")) if long_too else F.col(f"{c}_n")
+    n, m = size(a), size(b)
     apart = n + m - 2 * shared(n, m)
-    bits = F.bit_count(F.col(f"{a}_b1").bitwiseXOR(F.col(f"{b}_b1")))
-    more = F.bit_count(F.col(f"{a}_b2").bitwiseXOR(F.col(f"{b}_b2")))
-    return (F.least(n, m) * DEN >= F.greatest(n, m) * NUM) & (bits <= apart) & (more <= apart)
+    bits = lambda k: F.bit_count(F.col(f"{a}_b{k}").bitwiseXOR(F.col(f"{b}_b{k}")))
+    near = F.least(n, m) * DEN >= F.greatest(n, m) * NUM
+    # Of two lines of matching sizes one of which is under LONG, both have the first bits.
+    short, long = (F.least(n, m) < LONG) & (bits(1) <= apart), F.least(n, m) >= LONG
+    return near & (short | (long & (bits(2) + bits(3) <= apart)) if long_too else short | long)
 
 
 def _earlier(a: str, b: str) -> Column:
@@ -82,77 +116,98 @@ def _earlier(a: str, b: str) -> Column:
     return F.coalesce(k < m, k.isNull() & m.isNotNull()) | same
 
 
-def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """Ids (lid) of lines ``b`` for which a pair (a, b) really matches. Only lines that may be in a pair are moved."""
+def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """Lines ``b`` (vid) for which a pair (a, b) of lines really matches. The documents are read once more; only lines
+    that may be in a pair are moved."""
     pairs = staged(pairs.distinct(), "pairs")
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
-    either = pairs.select(F.explode(F.array("a", "b")).alias("lid")).select(slot("lid").alias("at"))
-    filled = either.groupBy(F.call_function("shiftright", F.col("at"), F.lit(6)).alias("at64")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(F.lit(63)).cast("int"))).alias("bits")
+    low = lambda c: c.bitwiseAND(F.lit(63)).cast("int")
+    at64 = lambda c: F.call_function("shiftright", c, F.lit(6))
+    either = pairs.select(F.explode(F.array("a", "b")).alias("vid")).select(slot("vid").alias("at"))
+    filled = either.groupBy(at64(F.col("at")).alias("at64")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), low(F.col("at")))).alias("bits")
     )
     # FILTER_BITS / 64 numbers at most.
     known = {r.at64: r.bits for r in filled.collect()}
     table = F.split(F.lit(",".join(str(known.get(i, 0)) for i in range(FILTER_BITS // 64))), ",").cast("array<bigint>")
-    word = F.get(table, F.call_function("shiftright", slot("lid"), F.lit(6)).cast("int"))
-    maybe = F.call_function("shiftright", word, slot("lid").bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
-    few = lines.filter(maybe).select("lid", F.array_distinct(words_of(F.col("line"))).alias("set"))
-    left = few.select(F.col("lid").alias("a"), F.col("set").alias("a_set"))
-    right = few.select(F.col("lid").alias("b"), F.col("set").alias("b_set"))
+    maybe = F.call_function("shiftright", F.get(table, at64(slot("vid")).cast("int")), low(slot("vid"))).bitwiseAND(F.lit(1)) == 1
+    plain = docs.select(F.xxhash64("key", "text").alias("did"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    plain = plain.select("line", F.xxhash64("did", "line_no").alias("vid")).filter(maybe)
+    few = plain.select("vid", words_of(_spaced(F.col("line"))).alias("set")).dropDuplicates(["vid"])
+    left = few.select(F.col("vid").alias("a"), F.col("set").alias("a_set"))
+    right = few.select(F.col("vid").alias("b"), F.col("set").alias("b_set"))
     both = F.size(F.array_intersect("a_set", "b_set"))
     match = both * (NUM + DEN) >= (F.size("a_set") + F.size("b_set")) * NUM
-    return pairs.join(left, "a").join(right, "b").filter(match).select(F.col("b").alias("lid")).distinct()
+    return pairs.join(left, "a").join(right, "b").filter(match).select(F.col("b").alias("vid")).distinct()
 
 
-def _side(rows: DataFrame, name: str, *more: str) -> DataFrame:
-    return rows.select(*more, *[F.col(c).alias(f"{name}_{c}") for c in ("lid", "key", "n", "b1", "b2", *(["pos"] if "pos" in rows.columns else []))])
+def _named(rows: DataFrame, name: str) -> DataFrame:
+    return rows.select(*[F.col(c).alias(f"{name}_{c}") for c in rows.columns])
 
 
-def matched(classes: DataFrame, lines: DataFrame) -> DataFrame:
-    """Ids of the classes (first lines of equal word sets) that match an earlier class."""
+def _by_name(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of lines (x_lid, y_lid) as (a, b) by name, the earlier one first; b must be open where that is known."""
+    own = classes.select("lid", "key", "vid", *(["open"] if "open" in classes.columns else []))
+    both = pairs.select("x_lid", "y_lid").distinct().join(_named(own, "x"), "x_lid").join(_named(own, "y"), "y_lid")
+    later = _earlier("x", "y")
+    out = both.select(
+        F.when(later, F.col("x_vid")).otherwise(F.col("y_vid")).alias("a"),
+        F.when(later, F.col("y_vid")).otherwise(F.col("x_vid")).alias("b"),
+        (F.when(later, F.col("y_open")).otherwise(F.col("x_open")) if "open" in classes.columns else F.lit(True)).alias("open"),
+    )
+    return out.filter("open").select("a", "b")
+
+
+def matched(classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Names (vid) of the classes (first lines of equal word sets) that match an earlier class."""
     # Lines under four words match nothing but equal sets.
     classes = classes.filter("n >= 4")
     # First against the earliest line under each of the rarest words: variants of one line are done with here, one pair each.
-    led = classes.select("lid", "key", "n", "b1", "b2", F.explode(F.slice("prefix", 1, LEADS)).alias("word"))
-    first = led.groupBy("word").agg(F.min(F.struct("key", "lid", "n", "b1", "b2")).alias("x"), F.count(F.lit(1)).alias("c"))
-    first = first.filter("c > 1").select("word", *[F.col(f"x.{c}").alias(f"x_{c}") for c in ("lid", "key", "n", "b1", "b2")])
-    near = led.join(first, "word").select("*", *[F.col(c).alias(f"y_{c}") for c in ("lid", "n", "b1", "b2")])
-    near = near.filter((F.col("x_lid") != F.col("lid")) & _alike("x", "y"))
-    done = staged(verified(near.select(F.col("x_lid").alias("a"), F.col("lid").alias("b")), lines), "done")
-    # Then the rest against all lines that share a prefix word.
-    open_ = classes.join(done.withColumn("found", F.lit(True)), "lid", "left")
-    rows = open_.select("lid", "key", "n", "b1", "b2", F.col("found").isNull().alias("probe"), F.posexplode("prefix").alias("pos", "word"))
-    x, y = _side(rows, "x", F.col("word")), _side(rows.withColumnRenamed("word", "word_y"), "y", "word_y", "probe")
-    left = F.least(F.col("x_n") - F.col("x_pos"), F.col("y_n") - F.col("y_pos"))
+    led = classes.select("lid", "key", "n", "b1", F.explode(F.slice("prefix", 1, LEADS)).alias("word"))
+    first = led.groupBy("word").agg(F.min(F.struct("key", "lid", "n", "b1")).alias("x"), F.count(F.lit(1)).alias("c"))
+    first = first.filter("c > 1").select("word", *[F.col(f"x.{c}").alias(f"x_{c}") for c in ("lid", "n", "b1")])
+    near = _named(led, "y").join(first, F.col("y_word") == F.col("word"))
+    near = near.filter((F.col("x_lid") != F.col("y_lid")) & _alike("x", "y", long_too=False))
+    done = staged(verified(_by_name(near, classes), docs), "done")
+    # Then all lines that share a prefix word, if one of the two is still open. Both sides are the same rows with the same
+    # columns and conditions, so they are dealt out once; lines that are done have a negative size there.
+    open_ = classes.join(done.withColumn("found", F.lit(True)), "vid", "left").withColumn("open", F.col("found").isNull())
+    open_ = open_.drop("found")
+    size = F.when(F.col("open"), F.col("n")).otherwise(-F.col("n"))
+    rows = open_.select("lid", size.alias("m"), "b1", "b2", "b3", F.posexplode("prefix").alias("pos", "word"))
+    x, y = _named(rows, "x"), _named(rows, "y")
+    n = {c: F.abs(F.col(f"{c}_m")) for c in "xy"}
+    left = F.least(n["x"] - F.col("x_pos"), n["y"] - F.col("y_pos"))
     found = x.join(
         y,
-        (F.col("word") == F.col("word_y")) & F.col("probe") & _earlier("x", "y") & _alike("x", "y")
-        & (left >= shared(F.col("x_n"), F.col("y_n"))),
+        (F.col("x_word") == F.col("y_word")) & (F.col("x_lid") < F.col("y_lid")) & (F.greatest("x_m", "y_m") > 0)
+        & (left >= shared(n["x"], n["y"])) & _alike("x", "y"),
     )
-    return done.unionByName(verified(found.select(F.col("x_lid").alias("a"), F.col("y_lid").alias("b")), lines))
+    return done.unionByName(verified(_by_name(found, open_), docs))
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: ``key``, ``text`` without the lines that go, ``n_lines``, ``n_removed``, ``removed``
-    (their numbers from 0, ascending, comma-joined).
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = True) -> DataFrame:
+    """One row per document: ``key``, ``n_lines``, ``n_removed``, ``removed`` (numbers from 0 of the lines that go,
+    ascending, comma-joined) and, unless ``with_text`` is False, ``text`` without these lines.
 
     A line goes if an earlier line, of the same or another document, matches it, whether or not that line stays.
     Earlier means a smaller key (NULL first), then the order of rows and lines. Words are split at ASCII white space
     and compared in lower case, each counted once. Lines without a word stay. A NULL text has no lines and stays NULL.
     """
-    lines = staged(line_table(docs, key, text), "lines")
-    classes = lines.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min(F.struct("key", "lid", "b1", "b2", "prefix")).alias("f"))
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    lines = staged(line_table(rows, with_text), "lines")
+    classes = lines.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min(F.struct("key", "lid", "vid", "b1", "b2", "b3", "prefix")).alias("f"))
     classes = staged(classes.select("n", "f.*"), "classes")
-    gone = matched(classes.select("lid", "key", "n", "b1", "b2", "prefix"), lines)
-    kept = classes.select("lid").join(gone, "lid", "left_anti").withColumn("stays", F.lit(True))
-    judged = lines.join(kept, "lid", "left").withColumn("stays", F.col("stays").isNotNull() | (F.col("n") == 0))
+    kept = classes.select("lid", "vid").join(matched(classes, rows), "vid", "left_anti")
+    judged = lines.join(kept.select("lid", F.lit(True).alias("first")), "lid", "left")
+    stays = F.col("first").isNotNull() | (F.col("n") == 0)
     of_doc = judged.groupBy("rid", "key").agg(
-        F.count("line").alias("n_lines"),
-        F.count(F.when(~F.col("stays"), 1)).alias("n_removed"),
-        F.sort_array(F.collect_list(F.when(~F.col("stays"), F.col("line_no")))).alias("removed"),
-        F.sort_array(F.collect_list(F.when(F.col("stays") & F.col("line").isNotNull(), F.struct("line_no", "line")))).alias("stay"),
+        F.count("line_no").alias("n_lines"),
+        F.count(F.when(~stays, 1)).alias("n_removed"),
+        F.sort_array(F.collect_list(F.when(~stays, F.col("line_no")))).alias("gone"),
+        *([F.sort_array(F.collect_list(F.when(stays & F.col("line").isNotNull(), F.struct("line_no", "line")))).alias("stay")] if with_text else []),
     )
     return of_doc.select(
-        F.col("key").alias(key),
-        F.when(F.col("n_lines") > 0, F.array_join(F.col("stay.line"), "\n")).alias(text),
-        "n_lines", "n_removed", F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"),
+        F.col("key").alias(key), "n_lines", "n_removed", F.array_join(F.col("gone").cast("array<string>"), ",").alias("removed"),
+        *([F.when(F.col("n_lines") > 0, F.array_join(F.col("stay.line"), "\n")).alias(text)] if with_text else []),
     )
