@@ -17,8 +17,9 @@ NUM, DEN = 4, 5
 SLOTS = 1 << 13
 #: From so many words a line has a second set of parity bits.
 LONG = 64
-#: Rarest words by which a line is first held against the earliest line that has one of them.
-LEADS = 2
+#: Prefix words, those of least hash, by which a line is first held against the earliest line that has one of them. Lines
+#: that share most of their prefix share some of these; the rarest would be the words in which variants differ.
+LEADS = 3
 #: Bits of the filter that keeps lines without a candidate from being moved for verification.
 FILTER_BITS = 1 << 21
 
@@ -162,8 +163,8 @@ def matched(classes: DataFrame, docs: DataFrame) -> DataFrame:
     """Names (vid) of the classes (first lines of equal word sets) that match an earlier class."""
     # Lines under four words match nothing but equal sets.
     classes = classes.filter("n >= 4")
-    # First against the earliest line under each of the rarest words: variants of one line are done with here, one pair each.
-    led = classes.select("lid", "key", "n", "b1", F.explode(F.slice("prefix", 1, LEADS)).alias("word"))
+    # First against the earliest line under each of a few prefix words: variants of one line are done with here, one pair each.
+    led = classes.select("lid", "key", "n", "b1", F.explode(F.slice(F.sort_array("prefix"), 1, LEADS)).alias("word"))
     first = led.groupBy("word").agg(F.min(F.struct("key", "lid", "n", "b1")).alias("x"), F.count(F.lit(1)).alias("c"))
     first = first.filter("c > 1").select("word", *[F.col(f"x.{c}").alias(f"x_{c}") for c in ("lid", "n", "b1")])
     near = _named(led, "y").join(first, F.col("y_word") == F.col("word"))
