@@ -98,16 +98,15 @@ def line_table(docs: DataFrame, with_text: bool) -> DataFrame:
     )
 
 
-def _alike(a: str, b: str, long_too: bool = True) -> Column:
+def _alike(a: str, b: str) -> Column:
     """Length filter, and no more differing parity bits than matching sets have differing words."""
-    size = lambda c: F.abs(F.col(f"{c}_m")) if long_too else F.col(f"{c}_n")
-    n, m = size(a), size(b)
+    n, m = F.abs(F.col(f"{a}_m")), F.abs(F.col(f"{b}_m"))
     apart = n + m - 2 * shared(n, m)
     bits = lambda k: F.bit_count(F.col(f"{a}_b{k}").bitwiseXOR(F.col(f"{b}_b{k}")))
     near = F.least(n, m) * DEN >= F.greatest(n, m) * NUM
     # Of two lines of matching sizes one of which is under LONG, both have the first bits.
     short, long = (F.least(n, m) < LONG) & (bits(1) <= apart), F.least(n, m) >= LONG
-    return near & (short | (long & (bits(2) + bits(3) <= apart)) if long_too else short | long)
+    return near & (short | (long & (bits(2) + bits(3) <= apart)))
 
 
 def _earlier(a: str, b: str) -> Column:
@@ -164,11 +163,11 @@ def matched(classes: DataFrame, docs: DataFrame) -> DataFrame:
     # Lines under four words match nothing but equal sets.
     classes = classes.filter("n >= 4")
     # First against the earliest line under each of a few prefix words: variants of one line are done with here, one pair each.
-    led = classes.select("lid", "key", "n", "b1", F.explode(F.slice(F.sort_array("prefix"), 1, LEADS)).alias("word"))
-    first = led.groupBy("word").agg(F.min(F.struct("key", "lid", "n", "b1")).alias("x"), F.count(F.lit(1)).alias("c"))
-    first = first.filter("c > 1").select("word", *[F.col(f"x.{c}").alias(f"x_{c}") for c in ("lid", "n", "b1")])
+    led = classes.select("lid", "key", F.col("n").alias("m"), "b1", "b2", "b3", F.explode(F.slice(F.sort_array("prefix"), 1, LEADS)).alias("word"))
+    first = led.groupBy("word").agg(F.min(F.struct("key", "lid", "m", "b1", "b2", "b3")).alias("x"), F.count(F.lit(1)).alias("c"))
+    first = first.filter("c > 1").select("word", *[F.col(f"x.{c}").alias(f"x_{c}") for c in ("lid", "m", "b1", "b2", "b3")])
     near = _named(led, "y").join(first, F.col("y_word") == F.col("word"))
-    near = near.filter((F.col("x_lid") != F.col("y_lid")) & _alike("x", "y", long_too=False))
+    near = near.filter((F.col("x_lid") != F.col("y_lid")) & _alike("x", "y"))
     done = staged(verified(_by_name(near, classes), docs), "done")
     # Then all lines that share a prefix word, if one of the two is still open. Both sides are the same rows with the same
     # columns and conditions, so they are dealt out once; lines that are done have a negative size there.
