@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import re
+from functools import cache
+from random import Random
+from statistics import median
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -27,8 +30,18 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 SENSITIVE = re.compile(r"passw|pwd|secret|token|credential|bearer|auth|private|access|api|key|signature|login", re.IGNORECASE | re.ASCII)
 #: Characters before a candidate that make up its context, and on both sides that prime the compressor.
 NEAR, AROUND = 40, 2000
-#: New bytes per character from which a candidate counts as incompressible.
+#: Share of the new bytes of a random string of the same alphabet and length from which a candidate counts as incompressible.
 NOVEL = 0.85
+#: Random strings drawn to see what such strings need, and their greatest length.
+DRAWS, LONG = 15, 512
+#: From few characters to many: hexadecimal, base 32, base 36, letters and digits.
+ALPHABETS = (
+    "0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyz234567",
+    "0123456789abcdefghijklmnopqrstuvwxyz", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
+)
+#: What may stand between the lines of a key: white space, quotes, signs of continuation.
+ADJOINS = re.compile(r"""[\s"'\\+,;|>#*]+""")
 #: Names that occur in ordinary code; strings made of them are not news.
 IDENTIFIERS = (
     "access address admin api application args array async await auth authorization base64 bearer boolean bucket "
@@ -59,29 +72,64 @@ def base_spans(text: str, raw: bytes) -> list[tuple[int, int, int]]:
     return found
 
 
-def new_bytes(candidate: str, around: str) -> int:
-    """Bytes that the candidate adds to a compressed stream primed with identifiers and the text around it."""
+def press(around: str):
+    """Bytes that a string adds to a compressed stream primed with identifiers and the text around it, as a function."""
     import zstandard
 
     prime = f"{IDENTIFIERS} {around}".encode()
     known = zstandard.ZstdCompressionDict(prime, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    press = zstandard.ZstdCompressor(level=19, dict_data=known, write_content_size=False, write_checksum=False, write_dict_id=False)
-    return len(press.compress(candidate.encode())) - len(press.compress(b""))
+    stream = zstandard.ZstdCompressor(level=19, dict_data=known, write_content_size=False, write_checksum=False, write_dict_id=False)
+    empty = len(stream.compress(b""))
+    return lambda piece: len(stream.compress(piece.encode())) - empty
+
+
+def alphabet(word: str) -> str:
+    """The least usual alphabet that has the word's letters and digits, with the marks that stand in it."""
+    marks = set(word) - set(ALPHABETS[-1])
+    plain = set(word) - marks
+    return next(a for a in ALPHABETS if plain <= set(a)) + "".join(sorted(marks))
+
+
+@cache
+def _drawn(letters: str, n: int) -> float:
+    draw, need = Random(f"{letters} {n}"), press("")
+    return median(need("".join(draw.choices(letters, k=n))) for _ in range(DRAWS))
+
+
+def random_bytes(letters: str, n: int) -> float:
+    """New bytes that a random string of n letters needs: the median of some, and in proportion above LONG letters."""
+    return _drawn(letters, min(n, LONG)) * max(n, LONG) / LONG
+
+
+def is_novel(word: str, around: str) -> bool:
+    """Whether the word needs about as many new bytes as a random string of its alphabet and length."""
+    return press(around)(word) >= NOVEL * random_bytes(alphabet(word), len(word))
+
+
+def _mixed(word: str) -> bool:
+    return any(c.isdigit() for c in word) and any(c.isalpha() for c in word)
 
 
 def novel_spans(text: str, raw: bytes, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Candidates with letters and digits, apart from the base spans, near a sensitive word, that hardly compress."""
+    """Candidates with letters and digits, apart from the base spans, near a sensitive word, that hardly compress.
+
+    A candidate that adjoins a sensitive one, as the next line of a key does, is sensitive too. Candidates do not
+    prime the compressor: a copy of a secret does not make it known.
+    """
     if not CANDIDATE_RAW.search(raw) or not SENSITIVE.search(text):
         return []
-    found = []
+    found, clean, upto, near = [], None, 0, False
     for m in CANDIDATE.finditer(text):
         word, start, end = m.group(), m.start(), m.end()
-        if not (any(c.isdigit() for c in word) and any(c.isalpha() for c in word)):
-            continue
-        if any(s < end and start < e for s, _, e in base) or not SENSITIVE.search(text[max(0, start - NEAR) : start]):
+        taken = any(s < end and start < e for s, _, e in base)
+        carried = near and ADJOINS.fullmatch(text, upto, start)
+        near = bool(carried or taken or SENSITIVE.search(text[max(0, start - NEAR) : start]))
+        upto = end
+        if taken or not near or not _mixed(word):
             continue
-        around = text[max(0, start - AROUND) : start] + text[end : end + AROUND]
-        if new_bytes(word, around) >= NOVEL * len(word):
+        if clean is None:
+            clean = CANDIDATE.sub(lambda c: " " * len(c.group()) if _mixed(c.group()) else c.group(), text)
+        if is_novel(word, clean[max(0, start - AROUND) : start] + clean[end : end + AROUND]):
             found.append((start, 3, end))
     return found
 
@@ -106,8 +154,9 @@ def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``secrets``: spans of the whole text (kind, start, end in characters, end exclusive).
 
     Kinds: ``assign`` (a value given to a name that says secret), ``access`` (access key ids), ``hex`` (long hexadecimal
-    strings) by fixed patterns; ``novel``: strings of letters and digits near a sensitive word for which a
-    compressor that knows common identifiers and the text around needs about as many new bytes as they have.
+    strings) by fixed patterns; ``novel``: strings of letters and digits near a sensitive word, or adjoining such a
+    string, for which a compressor that knows common identifiers and the text around needs about as many new bytes
+    as for a random string of the same alphabet and length.
     NULL and empty texts have none.
     """
     rows = docs.withColumn("__spans", _scan.asNondeterministic()(F.col(f"`{text}`")))
