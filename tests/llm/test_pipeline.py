@@ -65,3 +65,41 @@ def test_shards_have_gapless_slots(stages):
 def test_run_gives_the_last_stage(spark):
     out = corpus_pipeline.run(spark, DATA)
     assert out.columns == [*COLUMNS, "shard", "slot"] and out.filter(F.col("shard").isNull()).count() == 0
+
+
+CLASH = ["score", "held_out", "lang_pred", "leaks", "size", "copies", "target", "fingerprint", "component_id", "group_print", "shard", "slot", "rank"]
+LONG = "wort " * 60_000
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    rows = [
+        (1, None, "en", "a"), (2, "", "de", "a"), (3, LONG, "de", None), (4, "the same text in two rows here", "en", "b"),
+        (4, "the same text in two rows here", "en", "b"), (None, "a text that has no number at all", None, None), (5, "12 34", "fr", "c"),
+    ]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumns({c: F.lit(f"own {c}") for c in CLASH})
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_own_columns_come_out_as_they_went_in(spark, odd, name):
+    out = staged(dict(corpus_pipeline.STAGES)[name](spark, odd, DATA), name)
+    if name == "sharding":
+        renamed = {"shard": "input_shard", "slot": "input_slot"}
+        assert out.columns == [renamed.get(c, c) for c in odd.columns] + ["shard", "slot"]
+        out = out.drop("shard", "slot").withColumnsRenamed({v: k for k, v in renamed.items()})
+    assert out.columns == odd.columns
+    rows = [tuple(r) for r in out.collect()]
+    assert rows and all(r[4:] == tuple(f"own {c}" for c in CLASH) for r in rows)
+    before = {tuple(r) for r in odd.collect()}
+    assert set(rows) <= before
+    if name == "language_id":
+        assert not {1, 2, 5} & {r[0] for r in rows}
+    if name == "near_dedup":
+        assert sorted(str(r[0]) for r in rows) == sorted(["1", "3", "4", "5", "None"])
+    if name == "decontamination":
+        assert len(rows) == 7
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_empty_table(spark, odd, name):
+    assert dict(corpus_pipeline.STAGES)[name](spark, odd.limit(0), DATA).collect() == []
