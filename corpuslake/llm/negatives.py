@@ -24,7 +24,9 @@ BLOCK, LEAST_BLOCK = 32_768, 1024
 TILE_ANCHORS, TILE_ROWS = 128, 8192
 #: Entries are at most this large, so that inner products are exact.
 LARGEST = float(1 << 24)
-_DENSE = 1 / 16
+#: Share of a tile's pairs up to which they are looked at one by one.
+SPARSE = 1 / 16
+NONE = np.iinfo(np.int64).min
 
 
 def edges(size: int) -> np.ndarray:
@@ -71,50 +73,59 @@ class Side:
         return out
 
 
-def _products(a: np.ndarray, b: np.ndarray, rows: np.ndarray, columns: np.ndarray, dense: bool) -> np.ndarray:
-    """Inner products of the pairs (rows, columns)."""
-    if dense:
-        return (a @ b.T)[rows, columns]
-    out = np.empty(len(rows), np.result_type(a, b))
-    for at in range(0, len(rows), 1 << 15):
-        own = slice(at, at + (1 << 15))
-        out[own] = np.einsum("ij,ij->i", a[rows[own]], b[columns[own]])
-    return out
+def kth_largest(values: np.ndarray, k: int) -> np.ndarray:
+    """The k-th largest value of each row, the least there is where a row has fewer."""
+    width = values.shape[1]
+    if width < k:
+        return np.full(len(values), NONE if values.dtype == np.int64 else -np.inf)
+    return np.partition(values, width - k, axis=1)[:, width - k]
 
 
-def refined(anchors: Side, others: Side, alive: np.ndarray, judge) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, row, exact score) of the pairs in ``alive`` that every level of bounds lets through.
+def refined(
+    anchors: Side, others: Side, alive: np.ndarray, least: np.ndarray, most: np.ndarray, k: int = 0
+) -> np.ndarray:
+    """Exact scores (anchors x rows) of the pairs in ``alive`` that may lie between the anchor's ``least`` and ``most``; NONE elsewhere.
 
-    Over a segment the product is length times the means' product, give or take the product of the deviations. ``judge``
-    gets pairs with the bounds of their scores and says which of them remain. Each level looks at what the level
-    before has left; last come the exact scores.
+    Over a segment the product is length times the means' product, give or take the product of the deviations. Each level of
+    bounds looks at what the level before has left; last come the exact scores. With ``k``, what ``k`` rows of an anchor are sure
+    to reach is asked of all.
     """
-    i, j = np.nonzero(alive)
+    at = None  # pairs one by one, once few are left
     for (ma, da), (mb, db) in zip(anchors.levels, others.levels, strict=True):
-        if not len(i):
-            break
-        dense = len(i) > _DENSE * alive.size
-        middle, reach = _products(ma, mb, i, j, dense), _products(da, db, i, j, dense)
+        if at is None:
+            middle, reach = ma @ mb.T, da @ db.T
+        else:
+            middle, reach = _pairwise(ma, mb, *at), _pairwise(da, db, *at)
         reach += 1e-9 * (np.abs(middle) + reach) + 0.5  # for rounding; scores are whole numbers
-        left = judge(i, j, middle - reach, middle + reach)
-        i, j = i[left], j[left]
+        if at is not None:
+            i, j = at
+            kept = (middle + reach >= least[i]) & (middle - reach <= most[i])
+            at = i[kept], j[kept]
+            continue
+        if k:
+            least = np.maximum(least, kth_largest(np.where(alive, middle - reach, -np.inf), k))
+        alive = alive & (middle + reach >= least[:, None]) & (middle - reach <= most[:, None])
+        if np.count_nonzero(alive) <= SPARSE * alive.size:
+            at = np.nonzero(alive)
     a, b = anchors.x, others.x
-    if not len(i) or a.shape[1] * float(np.abs(a).max()) * float(np.abs(b).max()) < 2.0**53:
-        score = _products(a.astype(float), b.astype(float), i, j, len(i) > _DENSE * alive.size).astype(np.int64)
-    else:
-        score = _products(a.astype(np.int64), b.astype(np.int64), i, j, False)
-    return i, j, score
-
-
-def kth_largest(group: np.ndarray, value: np.ndarray, k: int, groups: int) -> np.ndarray:
-    """The k-th largest value of each group, minus infinity where there are fewer."""
-    out = np.full(groups, -np.inf)
-    order = np.lexsort((-value, group))
-    first = np.searchsorted(group[order], np.arange(groups))
-    at = first + k - 1
-    there = at < len(order)
-    there[there] = group[order[at[there]]] == np.nonzero(there)[0]
-    out[there] = value[order[at[there]]]
+    kind = float if a.shape[1] * _largest(a) * _largest(b) < 2.0**53 else np.int64
+    a, b = a.astype(kind, copy=False), b.astype(kind, copy=False)
+    if at is None:
+        return np.where(alive, (a @ b.T).astype(np.int64), NONE)
+    out = np.full(alive.shape, NONE)
+    out[at] = _pairwise(a, b, *at).astype(np.int64)
+    return out
+
+
+def _largest(x: np.ndarray) -> float:
+    return float(np.abs(x).max(initial=0))
+
+
+def _pairwise(a: np.ndarray, b: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    out = np.empty(len(rows), np.result_type(a, b))
+    for at in range(0, len(rows), 1 << 15):
+        own = slice(at, at + (1 << 15))
+        out[own] = np.einsum("ij,ij->i", a[rows[own]], b[columns[own]])
     return out
 
 
@@ -129,12 +140,21 @@ class Best:
         group, score, ids = (np.concatenate(x) for x in ((self.group, group), (self.score, score), (self.id, ids)))
         order = np.lexsort((ids, -score, group))
         group, score, ids = group[order], score[order], ids[order]
-        place = np.arange(len(group)) - np.searchsorted(group, group)
-        self.group, self.score, self.id = group[place < self.k], score[place < self.k], ids[place < self.k]
+        kept = np.arange(len(group)) - np.searchsorted(group, group) < self.k
+        self.group, self.score, self.id = group[kept], score[kept], ids[kept]
+
+    def add_rows(self, groups: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Scores (groups x ids), NONE where there is none. Only what reaches a row's k-th largest is sorted."""
+        i, j = np.nonzero(scores >= np.maximum(kth_largest(scores, self.k), NONE + 1)[:, None])
+        self.add(groups[i], scores[i, j], ids[j])
 
     def floor(self) -> np.ndarray:
         """What a score must reach in each group."""
-        return kth_largest(self.group, self.score.astype(float), self.k, self.groups)
+        out = np.full(self.groups, -np.inf)
+        count = np.bincount(self.group, minlength=self.groups)
+        last = np.cumsum(count) - 1
+        out[count >= self.k] = self.score[last[count >= self.k]]
+        return out
 
 
 def closest(ids_a: np.ndarray, a: Side, ids_b: np.ndarray, b: Side, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -146,13 +166,9 @@ def closest(ids_a: np.ndarray, a: Side, ids_b: np.ndarray, b: Side, k: int) -> t
         tile = Best(n, k)
         for at in range(0, len(ids_b), TILE_ROWS):
             cols = slice(at, at + TILE_ROWS)
-            floor = tile.floor()
-
-            def judge(i, j, lower, upper, n=n, floor=floor):
-                return upper >= np.maximum(floor, kth_largest(i, lower, k, n))[i]
-
-            i, j, score = refined(part, b.part(cols), ids_a[own][:, None] != ids_b[cols][None], judge)
-            tile.add(i, score, ids_b[cols][j])
+            others = ids_a[own][:, None] != ids_b[cols][None]
+            scores = refined(part, b.part(cols), others, tile.floor(), np.full(n, np.inf), k)
+            tile.add_rows(np.arange(n), scores, ids_b[cols])
         best.add(tile.group + low, tile.score, tile.id)
     return best.group, best.score, best.id
 
@@ -161,30 +177,22 @@ def between(
     a: Side, labels_a: np.ndarray, low: np.ndarray, high: np.ndarray, ids_b: np.ndarray, labels_b: np.ndarray, b: Side, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(anchor, range, score, id) of the first ``k`` rows of another label with a score in each of the anchor's ranges
-    (``low`` to ``high``, anchors x ranges)."""
+    (``low`` to ``high``, anchors x ranges; none where low exceeds high)."""
     ranges = low.shape[1]
     best = Best(len(low) * ranges, k)
     for start in range(0, len(low), TILE_ANCHORS):
         own = slice(start, start + TILE_ANCHORS)
         part, lo, hi = a.part(own), low[own], high[own]
-        n = len(lo)
+        n, some = len(lo), lo <= hi
         tile = Best(n * ranges, k)
         for at in range(0, len(ids_b), TILE_ROWS):
             cols = slice(at, at + TILE_ROWS)
-            floor = tile.floor().reshape(n, ranges)
-
-            def judge(i, j, lower, upper, n=n, lo=lo, hi=hi, floor=floor):
-                left = np.zeros(len(i), bool)
-                for r in range(ranges):
-                    sure = (lower >= lo[i, r]) & (upper <= hi[i, r])
-                    least = np.maximum(np.maximum(floor[:, r], lo[:, r]), kth_largest(i[sure], lower[sure], k, n))
-                    left |= (upper >= least[i]) & (lower <= hi[i, r])
-                return left
-
-            i, j, score = refined(part, b.part(cols), labels_a[own][:, None] != labels_b[cols][None], judge)
-            for r in range(ranges):
-                inside = (score >= lo[i, r]) & (score <= hi[i, r])
-                tile.add(i[inside] * ranges + r, score[inside], ids_b[cols][j[inside]])
+            floor = np.where(some, np.maximum(lo, tile.floor().reshape(n, ranges)), np.inf)
+            most = np.where(some, hi, -np.inf).max(1)
+            scores = refined(part, b.part(cols), labels_a[own][:, None] != labels_b[cols][None], floor.min(1), most)
+            for r in np.nonzero(some.any(0))[0]:
+                inside = (scores >= floor[:, r, None]) & (scores <= hi[:, r, None])
+                tile.add_rows(np.arange(n) * ranges + r, np.where(inside, scores, NONE), ids_b[cols])
         best.add(tile.group + start * ranges, tile.score, tile.id)
     return best.group // ranges, best.group % ranges, best.score, best.id
 
