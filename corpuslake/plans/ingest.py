@@ -16,7 +16,7 @@ from ..operators import cdx, extract, progress
 from ..operators.dedup import with_content_hash
 from ..schemas import FUNNEL
 from ..session import scratch_path
-from ..sinks.articles import BatchResult, insert_staged, next_batch_id
+from ..sinks.articles import BatchResult, compact_small_files, finish_compaction, insert_staged, next_batch_id
 from ..sinks.ledgers import mark_files, mark_pairs, quarantine
 from ..sources.tables import init_articles, scan_articles, scan_ledger_files, scan_ledger_pairs
 from ..sources.warc import UNREADABLE, read_outlines, unreadable
@@ -120,6 +120,7 @@ def run_build(
     resume: bool = True,
     parity: bool = False,
     partitions: int | None = None,
+    compact_every: int | None = None,
 ) -> BatchResult:
     """One resumable build over every (crawl, pattern) pair that is left.
 
@@ -131,8 +132,10 @@ def run_build(
     A pair is done when all its files are and ``max_files`` left none out, unless the index has no row of its crawl.
     Ledgers are written after the articles, so a run that dies is repeated, and content stored already is not stored
     again. Index rows without a crawl go to the error table. The numbers of each pair go to ``store.funnel``.
+    With ``compact_every`` the small files of the article table are gathered after every so many batches.
     """
     init_articles(spark, store.articles)
+    finish_compaction(spark, store.articles)
     batch_id = next_batch_id(scan_articles(spark, store.articles)) if batch_id is None else batch_id
     rules = cdx.pattern_table(spark, patterns)
     pairs = progress.pairs_cross(rules, crawl_ids)
@@ -196,6 +199,8 @@ def run_build(
     finished = pairs.join(seen_crawls, "crawl_id", "left_semi").join(left.select(*cdx.PAIR).distinct(), cdx.PAIR, "left_anti")
     finished = finished.join(by_pair, cdx.PAIR, "left").na.fill(0, ["articles_inserted"])
     mark_pairs(finished.select("*", marked), store.pairs)
+    if compact_every and (batch_id + 1) % compact_every == 0:
+        compact_small_files(spark, store.articles)
     return result
 
 

@@ -7,7 +7,7 @@ from ..functions.language import FUNCTION_WORDS
 from ..operators import cdx as c
 from ..operators import extract as x
 from ..session import scratch_path
-from ..sources.warc import read_ranges, scan_warc
+from ..sources.warc import RecordFilter, read_ranges, scan_targets, scan_warc
 from . import Query
 
 def _outline():
@@ -77,6 +77,16 @@ _READ_BACK = """SELECT 'response' AS warc_type, url AS target_uri, '200' AS stat
                 FROM cdx JOIN (SELECT page_id, html FROM pages) USING (page_id)"""
 
 
+#: Small enough to cut the archives of any size into many stretches.
+_SPLIT = 100_000
+
+
+def _archives(v):
+    """Folder of archives with a request before each page, and their index."""
+    base = scratch_path(v.spark, "archives")
+    return base, v.written_archives(base, requests=True)
+
+
 def _read_back(v, read):
     """Pages written as gzip archives and read again."""
     base = scratch_path(v.spark, "archives")
@@ -85,6 +95,13 @@ def _read_back(v, read):
     )
 
 
+_ARTICLES_SQL = rf"""WITH {_EXTRACTED}
+            SELECT url, title, content AS content, guess AS language, '200' AS status_code,
+                   regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '^www\.', '')
+                     AS source_domain
+            FROM texts JOIN guessed USING (url) JOIN ({_TITLES}) USING (url)
+            WHERE length(content) >= 100 AND guess IN ('en', 'fr', 'de', 'es')"""
+
 QUERIES = {
     "decode_utf8": Query(
         lambda v: x.with_outline(v.pages.select(
@@ -139,6 +156,9 @@ QUERIES = {
     "scan_warc_files": Query(
         lambda v: _read_back(v, lambda index, base: scan_warc(v.spark, base)), _READ_BACK
     ),
+    "scan_warc_split": Query(
+        lambda v: _read_back(v, lambda index, base: scan_warc(v.spark, base, split_bytes=_SPLIT)), _READ_BACK
+    ),
     "read_ranges_files": Query(
         lambda v: _read_back(v, lambda index, base: read_ranges(index, base, 8)), _READ_BACK
     ),
@@ -146,6 +166,18 @@ QUERIES = {
         lambda v: v.warc_records.filter(F.col("warc_type") == "response").select("target_uri"),
         "SELECT url AS target_uri FROM pages",
     ),
+    "record_filter_files": Query(
+        lambda v: scan_warc(v.spark, _archives(v)[0], _SPLIT, RecordFilter(types=["response"])).select(
+            "warc_type", "target_uri", F.decode("payload", "utf-8").alias("html")
+        ),
+        "SELECT 'response' AS warc_type, url AS target_uri, html FROM pages",
+    ),
+    "target_records_files": Query(
+        lambda v: scan_targets(v.spark, _archives(v)[0], c.filter_keywords(v.cdx, ["/en/"]), _SPLIT).select(
+            "target_uri", "status_code", F.decode("payload", "utf-8").alias("html")
+        ),
+        "SELECT url AS target_uri, '200' AS status_code, html FROM pages WHERE contains(lower(url), '/en/')",
+    ),
     "target_records": Query(
         lambda v: c.target_records(v.warc_records, c.filter_keywords(v.cdx, ["/en/"])).select("target_uri", "filename"),
         "SELECT url AS target_uri, filename FROM cdx WHERE contains(lower(url), '/en/')",
@@ -154,12 +186,14 @@ QUERIES = {
         lambda v: x.extract_articles(
             v.warc_records, languages=["en", "fr", "de", "es"], min_chars=100
         ).select("url", "title", "content", "source_domain", "language", "status_code"),
-        rf"""WITH {_EXTRACTED}
-            SELECT url, title, content AS content, guess AS language, '200' AS status_code,
-                   regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '^www\.', '')
-                     AS source_domain
-            FROM texts JOIN guessed USING (url) JOIN ({_TITLES}) USING (url)
-            WHERE length(content) >= 100 AND guess IN ('en', 'fr', 'de', 'es')""",
+        _ARTICLES_SQL,
+    ),
+    "extract_articles_files": Query(
+        lambda v: x.extract_articles(
+            scan_warc(v.spark, _archives(v)[0], _SPLIT, RecordFilter(types=["response"])),
+            languages=["en", "fr", "de", "es"], min_chars=100,
+        ).select("url", "title", "content", "source_domain", "language", "status_code"),
+        _ARTICLES_SQL,
     ),
     "extract_rejects": Query(
         lambda v: x.rejected(x.extract_pages(v.pages, "url", "html", F.lit(""))).select(

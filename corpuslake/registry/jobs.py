@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import ARTICLES, CDX
 from ..session import scratch_path
-from ..sinks.articles import append_articles, compact_articles, export_dataset, insert_batch
+from ..sinks.articles import (
+    FAN_IN,
+    append_articles,
+    compact_articles,
+    compact_small_files,
+    data_files,
+    export_dataset,
+    insert_batch,
+)
 from ..sinks.exports import export_metrics, export_salience_sections
 from ..sinks.ledgers import mark_files, mark_pairs, quarantine, write_classifications
 from ..sources.cdx import scan_cdx
@@ -79,6 +89,24 @@ def _compact(v: Views) -> DataFrame:
     return compact_articles(v.spark, path, _new(v, "compact")).select(*_COLS, "batch_id")
 
 
+def _of_source(v: Views) -> DataFrame:
+    path = _new(v, "sources")
+    append_articles(v.hashed, path, 0)
+    return scan_articles(v.spark, path, ["src1", "src3", "none"]).select(*_COLS)
+
+
+def _compact_small(v: Views) -> DataFrame:
+    """Eight batches, small files gathered after every third one."""
+    path = _new(v, "growing")
+    for i in range(8):
+        append_articles(v.hashed.filter(F.col("doc_id") % 8 == i), path, i)
+        if i % 3 == 2:
+            compact_small_files(v.spark, path)
+    files = data_files(v.spark, path).groupBy("source_bucket").count().agg(F.max("count").alias("most"))
+    kept = F.col("most") <= 3 * FAN_IN  # of eight files a folder and batch alike
+    return scan_articles(v.spark, path).join(files).select(*_COLS, "batch_id", kept.alias("few_files"))
+
+
 def _export(v: Views) -> DataFrame:
     out = _new(v, "metrics")
     export_metrics(v.articles, out, "csv")
@@ -200,14 +228,14 @@ def _build(v: Views) -> DataFrame:
     )
 
 
-def _documents(v: Views) -> DataFrame:
-    """Documents in three files, by the month of their capture, so that earlier captures come first."""
+def _documents(v: Views) -> Iterator[DataFrame]:
+    """Documents in three parts, by the month of their capture, so that earlier captures come first."""
     month = F.col("doc_id") % 4
     return v.arriving("documents", [month == 0, month == 1, month >= 2])
 
 
-def _events(v: Views) -> DataFrame:
-    """Events in three files, one after the other in time."""
+def _events(v: Views) -> Iterator[DataFrame]:
+    """Events in three parts, one after the other in time."""
     at = F.unix_micros(F.col("ts").cast("timestamp"))
     first, last = v.table("events").agg(F.min(at), F.max(at)).first()
     third = F.least(F.floor((at - first) * 3 / max(1, last - first)), F.lit(2))
@@ -216,33 +244,35 @@ def _events(v: Views) -> DataFrame:
 
 def _stream_ingest(v: Views) -> DataFrame:
     path, checkpoint = _new(v, "articles"), _new(v, "checkpoint")
-    arriving = v.as_articles(_documents(v))
-    for _ in range(2):  # the second start finds its input done
-        jobs.stream_ingest(arriving, path, checkpoint).awaitTermination()
+    for arriving in _documents(v):
+        jobs.stream_ingest(v.as_articles(arriving), path, checkpoint).awaitTermination()
+    jobs.stream_ingest(v.as_articles(arriving), path, checkpoint).awaitTermination()  # finds its input done
     return scan_articles(v.spark, path).select(*_COLS)
 
 
 def _stream_dedup(v: Views) -> DataFrame:
     path, checkpoint = _new(v, "unique"), _new(v, "checkpoint")
-    jobs.stream_dedup(v.as_articles(_documents(v)), path, checkpoint).awaitTermination()
+    for arriving in _documents(v):
+        jobs.stream_dedup(v.as_articles(arriving), path, checkpoint).awaitTermination()
     return v.spark.read.schema(ARTICLES).parquet(path).select("content_hash")
 
 
 def _stream_daily(v: Views) -> DataFrame:
     path, checkpoint = _new(v, "daily"), _new(v, "checkpoint")
-    jobs.stream_daily_counts(v.as_articles(_documents(v)), path, checkpoint).awaitTermination()
+    for arriving in _documents(v):
+        jobs.stream_daily_counts(v.as_articles(arriving), path, checkpoint).awaitTermination()
     versions = v.spark.read.schema("publish_date string, article_count long, version int").parquet(path)
     return jobs.latest_daily_counts(versions)
 
 
-
 def _stream_status(v: Views) -> DataFrame:
     path, checkpoint = _new(v, "status"), _new(v, "checkpoint")
-    checks = _events(v).select(
-        F.lit("index").alias("service"), "ts", F.col("event_id").alias("check_id"),
-        F.when(F.col("event_type") == "error", "DOWN").otherwise("UP").alias("status"),
-    )
-    jobs.stream_status_changes(checks, path, checkpoint).awaitTermination()
+    for arriving in _events(v):
+        checks = arriving.select(
+            F.lit("index").alias("service"), "ts", F.col("event_id").alias("check_id"),
+            F.when(F.col("event_type") == "error", "DOWN").otherwise("UP").alias("status"),
+        )
+        jobs.stream_status_changes(checks, path, checkpoint).awaitTermination()
     return v.spark.read.parquet(f"{path}/changes").drop("version", "ts")
 
 
@@ -269,6 +299,8 @@ QUERIES = {
         f"""SELECT {_A}, CASE language WHEN 'en' THEN 0 ELSE 1 END::bigint AS batch_id
             FROM hashed""",
     ),
+    "scan_articles_of_source": Query(_of_source, f"SELECT {_A} FROM hashed WHERE source_domain IN ('src1', 'src3')"),
+    "compact_small_files": Query(_compact_small, f"SELECT {_A}, doc_id % 8 AS batch_id, true AS few_files FROM hashed"),
     "export_metrics": Query(
         _export,
         """SELECT 'articles_per_day' AS metric, NULL AS source_domain, publish_date, count(*) AS article_count

@@ -6,7 +6,8 @@ from ..functions import lower_contains
 from ..operators import extract, progress
 from ..operators.dedup import with_content_hash
 from ..operators.ranking import first_per_key
-from ..sources.tables import parse_progress, progress_files, progress_pairs
+from ..session import scratch_path
+from ..sources.tables import parse_progress, progress_files, progress_pairs, scan_progress
 from . import Query, Views
 from .views import CRAWLS
 
@@ -44,7 +45,32 @@ def _checkpoints(v: Views):
     )).alias("value")))
 
 
+def _read_checkpoints(v: Views):
+    """A checkpoint file per crawl, a broken one among them, and a folder that is not there."""
+    path = scratch_path(v.spark, "checkpoints")
+    rows = v.by_host.filter(F.col("timestamp") < "20200415")
+    key = F.concat_ws(":", "crawl_id", "domain_pattern")
+    documents = rows.groupBy("crawl_id").agg(
+        F.collect_set(key).alias("completed_crawl_domain_pairs"), F.collect_set("filename").alias("completed_warc_files"),
+        F.count(F.lit(1)).cast("int").alias("total_articles_inserted"),
+    )
+    text = documents.select("crawl_id", F.to_json(F.struct(*documents.columns[1:])).alias("value"))
+    broken = text.select(F.lit("broken").alias("crawl_id"), F.substring("value", 1, 40).alias("value")).limit(1)
+    text.unionByName(broken).repartition("crawl_id").write.partitionBy("crawl_id").text(path)
+    found = scan_progress(v.spark, path).unionByName(scan_progress(v.spark, path + "-none"))
+    return found.select(
+        F.explode("completed_crawl_domain_pairs").alias("pair"), F.size("completed_warc_files").cast("long").alias("n_files"),
+        F.col("total_articles_inserted").alias("total"),
+    )
+
+
 QUERIES = {
+    "scan_progress_reader": Query(
+        _read_checkpoints,
+        """WITH done AS (SELECT * FROM by_host WHERE timestamp < '20200415'),
+            s AS (SELECT crawl_id, count(*) AS total, count(DISTINCT filename) AS n_files FROM done GROUP BY crawl_id)
+            SELECT DISTINCT concat(crawl_id, ':', domain_pattern) AS pair, n_files, total FROM done JOIN s USING (crawl_id)""",
+    ),
     "pairs_cross": Query(_pairs, "SELECT crawl_id, domain_pattern FROM pairs"),
     "remaining_work": Query(
         lambda v: progress.remaining_work(_pairs(v), v.ledger_pairs), "SELECT crawl_id, domain_pattern FROM missing"

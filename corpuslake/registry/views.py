@@ -170,12 +170,13 @@ class Views:
             "check_id",
         )
 
-    def arriving(self, name: str, parts: list[Column]) -> DataFrame:
-        """A table as a stream of files that came one after the other, one per micro-batch."""
+    def arriving(self, name: str, parts: list[Column]) -> Iterator[DataFrame]:
+        """A table as a stream of folders that come one after the other. Each time the stream is handed out a further part
+        has been written, by as many tasks as its size asks for; what is started on it takes up where the last start ended."""
         path, given = scratch_path(self.spark, name), self.table(name)
         for part in parts:
-            given.filter(part).coalesce(1).write.mode("append").parquet(path)
-        return self.spark.readStream.schema(given.schema).option("maxFilesPerTrigger", 1).parquet(path)
+            given.filter(part).write.mode("append").parquet(path)
+            yield self.spark.readStream.schema(given.schema).parquet(path)
 
     def packed_pages(self) -> DataFrame:
         """Pages as archive records: (filename, member) and the index fields but for the byte range."""
@@ -199,8 +200,14 @@ class Views:
         """Pages packed as archive records and read back."""
         return parse_members(self.packed_pages())
 
-    def written_archives(self, base: str) -> DataFrame:
-        """Pages written as gzip archives below ``base``, one file per task; returns their index."""
+    def written_archives(self, base: str, requests: bool = False) -> DataFrame:
+        """Pages written as gzip archives below ``base``, one file per task; returns their index. With ``requests`` a
+        record of the request stands before each page."""
+
+        def request(url: str) -> bytes:
+            block = f"GET {url} HTTP/1.1\r\nAccept: text/html\r\n\r\n".encode()
+            head = f"WARC/1.0\r\nWARC-Type: request\r\nWARC-Target-URI: {url}\r\nContent-Length: {len(block)}\r\n\r\n"
+            return head.encode() + block + b"\r\n\r\n"
 
         def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             name, at = f"part-{TaskContext.get().partitionId():05d}.warc.gz", 0
@@ -209,10 +216,12 @@ class Views:
             with storage.open_output_stream(f"{folder}/{name}", compression=None) as out:
                 for batch in batches:
                     members = [gzip.compress(m) for m in batch["member"]]
+                    before = [gzip.compress(request(u)) if requests else b"" for u in batch["url"]]
                     lengths = [len(m) for m in members]
-                    out.write(b"".join(members))
-                    offsets = list(accumulate(lengths[:-1], initial=at))
-                    at += sum(lengths)
+                    out.write(b"".join(b + m for b, m in zip(before, members, strict=True)))
+                    ends = [at + x for x in accumulate(len(b) + n for b, n in zip(before, lengths, strict=True))]
+                    offsets = [end - n for end, n in zip(ends, lengths, strict=True)]
+                    at = ends[-1] if ends else at
                     index = batch[["crawl_id", "url", "timestamp"]]
                     yield index.assign(filename=name, offset=offsets, length=lengths)
 

@@ -3,6 +3,7 @@
 from pyspark.sql.types import (
     ArrayType,
     BinaryType,
+    IntegerType,
     LongType,
     MapType,
     StringType,
@@ -18,6 +19,8 @@ ARTICLE_COLUMNS = [
 
 ARTICLES = StructType([StructField(c, StringType()) for c in ARTICLE_COLUMNS])
 STORED_ARTICLES = StructType(ARTICLES.fields + [StructField("batch_id", LongType())])
+# As the table lies in storage: the folder is a hash of the source.
+BUCKETED_ARTICLES = StructType(STORED_ARTICLES.fields + [StructField("source_bucket", IntegerType())])
 
 CDX = StructType(
     [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 from ..functions import default_empty
 from ..operators.dedup import anti_existing_hash, with_content_hash
 from ..schemas import ARTICLE_COLUMNS, ARTICLES, STORED_ARTICLES
-from ..session import scratch_path
-from ..sources.tables import init_articles, scan_articles
+from ..session import scratch_path, storage
+from ..sources.tables import SOURCE_BUCKETS, init_articles, scan_articles, source_bucket
 
 
 @dataclass(frozen=True)
@@ -40,19 +41,24 @@ def next_batch_id(stored: DataFrame) -> int:
     return 0 if last is None else last + 1
 
 
-def append_articles(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Append by source.
+def laid_out(rows: DataFrame) -> DataFrame:
+    """Rows dealt to tasks by the folder of their source, each task's sorted by source and day.
 
-    The rebalance hint gathers a source's rows into few files, and lets adaptive execution cut a
-    source that holds a large share into several tasks instead of one.
+    The rebalance hint gathers a folder's rows into few files, and lets adaptive execution cut a folder that holds a
+    large share, because one source does, into several tasks.
     """
-    tagged = rows.select(*ARTICLE_COLUMNS, F.lit(batch_id).cast("long").alias("batch_id"))
-    (
-        tagged.hint("rebalance", F.col("source_domain"))
-        .write.mode("append").partitionBy("source_domain").parquet(path)
+    bucketed = rows.withColumn("source_domain", default_empty("source_domain")).withColumn("source_bucket", source_bucket(F.col("source_domain")))
+    return bucketed.hint("rebalance", F.col("source_bucket")).sortWithinPartitions(
+        "source_bucket", "source_domain", "publish_date", "url"
     )
 
 
+def append_articles(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Append to the folders of the sources: at most SOURCE_BUCKETS of them, for any number of sources."""
+    tagged = rows.select(*ARTICLE_COLUMNS, F.lit(batch_id).cast("long").alias("batch_id"))
+    laid_out(tagged).write.mode("append").partitionBy("source_bucket").parquet(path)
+
+
 def insert_batch(rows: DataFrame, path: str, batch_id: int | None = None) -> BatchResult:
     """Append the rows whose content is new, one per content hash (earliest timestamp, then url).
 
@@ -106,15 +112,99 @@ def compact_articles(spark: SparkSession, source: str, target: str, max_rows_per
 
     ``target`` is a new path; readers move over when it is complete.
     """
-    rows = scan_articles(spark, source)
-    (
-        rows.hint("rebalance", F.col("source_domain"))
-        .write.option("maxRecordsPerFile", max_rows_per_file)
-        .partitionBy("source_domain").parquet(target)
-    )
+    rows = laid_out(scan_articles(spark, source))
+    rows.write.option("maxRecordsPerFile", max_rows_per_file).partitionBy("source_bucket").parquet(target)
     return scan_articles(spark, target)
 
 
+#: Files of a table below this size are gathered, so many of about the same size at a time.
+SMALL_BYTES, FAN_IN = 128 << 20, 4
+_LEAST_TIER = 64 << 10
+
+
+def data_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length, source_bucket) of a table's files; their content is not read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    if "source_bucket" not in files.columns:
+        files = files.withColumn("source_bucket", F.lit(None).cast("int"))
+    return files.select("path", "length", F.col("source_bucket").cast("int"))
+
+
+def small_groups(files: DataFrame, small_bytes: int = SMALL_BYTES, fan_in: int = FAN_IN) -> DataFrame:
+    """(path, source_bucket, tier) of the files worth gathering: ``fan_in`` or more of one folder and one tier of sizes.
+
+    Tiers grow by ``fan_in``, so that a row is written again once per tier and not once per build. Files of
+    ``small_bytes`` or more stay as they are. A folder keeps at most ``fan_in - 1`` small files per tier.
+    """
+    size = F.greatest(F.col("length"), F.lit(_LEAST_TIER)) / _LEAST_TIER
+    tier = F.floor(F.log(size) / F.log(F.lit(float(fan_in))) + 1e-9).alias("tier")
+    small = files.filter(F.col("length") < small_bytes).select("path", "length", "source_bucket", tier)
+    many = small.groupBy("source_bucket", "tier").count().filter(F.col("count") >= fan_in).drop("count")
+    return small.join(F.broadcast(many) if SOURCE_BUCKETS <= 1024 else many, ["source_bucket", "tier"])
+
+
+def compact_small_files(spark: SparkSession, path: str, small_bytes: int = SMALL_BYTES, fan_in: int = FAN_IN) -> int:
+    """Gather the small files of the table at ``path`` in place; returns how many were gathered. The rows stay the same.
+
+    The gathered rows are first written to a hidden folder beside the table. Then the list of the files that they
+    replace is put in place, in one step, and new and old files change over. A run that dies before that list is there
+    has changed nothing; after it, ``finish_compaction`` (called here and by builds) completes the change. One writer at a time;
+    readers of the table's files during the change-over itself may see rows twice.
+    """
+    finish_compaction(spark, path)
+    gathered = 0
+    while True:
+        # At most so many names come to the driver per round.
+        found = small_groups(data_files(spark, path), small_bytes, fan_in).orderBy("source_bucket", "tier").limit(10_000).collect()
+        groups: dict[tuple, list[str]] = {}
+        for r in found:
+            groups.setdefault((r["source_bucket"], r["tier"]), []).append(r["path"])
+        old = [p for group in groups.values() if len(group) >= fan_in for p in group]
+        if not old:
+            return gathered
+        hidden = f"{path.rstrip('/')}/_gathered-{uuid.uuid4().hex}"
+        rows = spark.read.schema(STORED_ARTICLES).parquet(*old)
+        laid_out(rows).write.partitionBy("source_bucket").parquet(hidden)
+        _announce(spark, hidden, old)
+        finish_compaction(spark, path)
+        gathered += len(old)
+
+
+def _announce(spark: SparkSession, hidden: str, old: list[str]) -> None:
+    """Put the list of replaced files in place; from here on the change is to be completed."""
+    files, place = storage(spark, f"{hidden}/announced")
+    out = files.create(place)
+    out.write("\n".join(old).encode())
+    out.close()
+    files.rename(place, storage(spark, f"{hidden}/replaces")[1])
+
+
+def finish_compaction(spark: SparkSession, path: str) -> None:
+    """Complete or drop what a compaction left behind; does nothing after one that came to its end."""
+    files, root = storage(spark, path)
+    if not files.exists(root):
+        return
+    for folder in files.listStatus(root):
+        hidden = folder.getPath()
+        if not hidden.getName().startswith("_gathered-"):
+            continue
+        name = hidden.toString()
+        replaced = storage(spark, f"{name}/replaces")[1]
+        if files.exists(replaced):
+            old = [r[0] for r in spark.read.text(f"{name}/replaces").collect()]
+            for bucket in files.listStatus(hidden):
+                if not bucket.isDirectory():
+                    continue
+                target = storage(spark, f"{root.toString()}/{bucket.getPath().getName()}")[1]
+                files.mkdirs(target)
+                for part in files.listStatus(bucket.getPath()):
+                    if part.getPath().getName().endswith(".parquet"):
+                        files.rename(part.getPath(), storage(spark, f"{target.toString()}/{part.getPath().getName()}")[1])
+            for one in old:
+                files.delete(storage(spark, one)[1], False)
+        files.delete(hidden, True)
+
+
 def export_dataset(articles: DataFrame, target: str, max_rows_per_file: int = 1_000_000) -> int:
     """The whole table as Parquet shards that dataset libraries load as they are.
 

@@ -1,11 +1,23 @@
+from pathlib import Path
+
+import pyarrow.parquet as pq
+import pytest
 from conftest import dicts
 from pyspark.sql import functions as F
 
 from corpuslake.operators import articles as a
 from corpuslake.operators import dedup, metrics
 from corpuslake.schemas import STORED_ARTICLES
-from corpuslake.sinks.articles import append_articles, compact_articles, export_dataset, insert_article, insert_batch
-from corpuslake.sources.tables import init_articles, scan_articles
+from corpuslake.sinks.articles import (
+    append_articles,
+    compact_articles,
+    compact_small_files,
+    export_dataset,
+    insert_article,
+    insert_batch,
+    small_groups,
+)
+from corpuslake.sources.tables import SOURCE_BUCKETS, init_articles, scan_articles
 
 
 def fresh(tmp_path):
@@ -66,13 +78,35 @@ def test_empty_and_number_like_sources_survive_storage(spark, tmp_path, make_art
     assert [r["content"] for r in dicts(got.filter("source_domain = ''"))] == ["1"]
 
 
-def test_partition_pruning_reaches_the_scan(spark, tmp_path, make_articles):
+def test_one_source_reads_one_folder(spark, tmp_path, make_articles):
+    """Whatever the number of sources there is a bounded number of folders, and a source lies in one."""
+    path = fresh(tmp_path)
+    rows = spark.range(3000).select(F.concat(F.lit("host"), "id", F.lit(".com")).alias("source_domain"), F.col("id").cast("string").alias("content"))
+    insert_batch(rows, path, 0)
+    folders = {f.name for f in (tmp_path / "articles").iterdir() if f.is_dir()}
+    assert folders == {f"source_bucket={i}" for i in range(SOURCE_BUCKETS)}
+    some = scan_articles(spark, path, ["host7.com", "host7.com"]).select("url")
+    text = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(source_bucket" in text and "EqualTo(source_domain,host7.com)" in text
+    assert "ReadSchema: struct<url:string,source_domain:string>" in text
+    assert [r["content"] for r in dicts(scan_articles(spark, path, ["host7.com"]))] == ["7"]
+    assert {f.rsplit("/", 2)[1] for f in some.inputFiles()} == folders  # inputFiles does not prune; the scan does
+    some.collect()
+    assert scan_articles(spark, path, ["host7.com", "host8.com", "none"]).count() == 2 and scan_articles(spark, path, []).count() == 0
+    text = scan_articles(spark, path).filter("source_domain = 'other.com'").select("url")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(source_domain), EqualTo(source_domain,other.com)]" in text
+
+
+def test_files_are_sorted_by_source_and_day(spark, tmp_path):
     path = fresh(tmp_path)
-    append_articles(make_articles(dict(), dict(source_domain="other.com")), path, 0)
-    plan = scan_articles(spark, path).filter("source_domain = 'other.com'").select("url")
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [(coalesce(source_domain" in text
-    assert "ReadSchema: struct<url:string>" in text
+    rows = spark.range(500).select(
+        F.concat(F.lit("h"), F.col("id") % 150).alias("source_domain"), F.col("id").cast("string").alias("content"),
+        F.concat(F.lit("2020-04-"), F.lpad((1 + F.col("id") % 28).cast("string"), 2, "0")).alias("publish_date"),
+    )
+    insert_batch(rows, path, 0)
+    for f in (tmp_path / "articles").rglob("*.parquet"):
+        keys = [tuple(r.values()) for r in pq.read_table(f, columns=["source_domain", "publish_date"], partitioning=None).to_pylist()]
+        assert keys == sorted(keys)
 
 
 def test_hot_source_is_split_over_files(spark, tmp_path, make_articles):
@@ -161,6 +195,96 @@ def test_compaction_keeps_rows(spark, tmp_path, make_articles):
     assert len(after.inputFiles()) < len(before.inputFiles())
 
 
+def stored_rows(spark, path):
+    return sorted(map(tuple, scan_articles(spark, path).collect()))
+
+
+def table_files(tmp_path):
+    return sorted(str(f.relative_to(tmp_path)) for f in (tmp_path / "articles").rglob("*.parquet"))
+
+
+def filled(spark, tmp_path, batches, sources=6):
+    path = fresh(tmp_path)
+    for i in range(batches):
+        rows = spark.range(40).select(
+            F.concat(F.lit("s"), F.col("id") % sources, F.lit(".com")).alias("source_domain"), F.concat(F.lit(f"{i} "), "id").alias("content"),
+        )
+        insert_batch(rows, path, i)
+    return path
+
+
+def test_small_files_are_gathered_in_place(spark, tmp_path):
+    path = filled(spark, tmp_path, 7)
+    before, rows = table_files(tmp_path), stored_rows(spark, path)
+    gathered = compact_small_files(spark, path)
+    after = table_files(tmp_path)
+    assert gathered == len(before) and len(after) <= len(before) / 6 and stored_rows(spark, path) == rows
+    assert not [f for f in (tmp_path / "articles").iterdir() if f.name.startswith("_gathered")]
+    assert compact_small_files(spark, path) == 0 and table_files(tmp_path) == after
+
+
+def test_large_files_and_few_files_stay(spark, tmp_path):
+    path = filled(spark, tmp_path, 3)
+    before = table_files(tmp_path)
+    assert compact_small_files(spark, path) == 0  # three files of a folder are fewer than four
+    assert compact_small_files(spark, path, small_bytes=1, fan_in=2) == 0 and table_files(tmp_path) == before
+    assert compact_small_files(spark, path, fan_in=2) == len(before)
+
+
+def test_tiers_keep_rows_from_being_written_again_and_again(spark):
+    sizes = [(f"p{i}", 1000 + i, 0) for i in range(5)] + [("m1", 1 << 20, 0), ("m2", 1 << 20, 0), ("l", 1 << 30, 0), ("o", 1000, 1)]
+    files = spark.createDataFrame(sizes, "path string, length long, source_bucket int")
+    got = lambda **k: {r["path"] for r in dicts(small_groups(files, **k))}
+    assert got() == {f"p{i}" for i in range(5)}
+    assert got(fan_in=2) == {f"p{i}" for i in range(5)} | {"m1", "m2"}
+    assert got(fan_in=6) == set()
+
+
+def test_a_change_over_that_died_is_completed_or_dropped(spark, tmp_path, monkeypatch):
+    """At whatever step the run dies, the rows are the same after the next start."""
+    from corpuslake.sinks import articles as sink
+
+    path = filled(spark, tmp_path, 4)
+    rows = stored_rows(spark, path)
+
+    class Died(Exception):
+        pass
+
+    def dies(*args):
+        raise Died
+
+    monkeypatch.setattr(sink, "_announce", dies)  # written, but not announced
+    with pytest.raises(Died):
+        compact_small_files(spark, path)
+    monkeypatch.undo()
+    assert stored_rows(spark, path) == rows
+    files = table_files(tmp_path)
+    sink.finish_compaction(spark, path)
+    assert len(table_files(tmp_path)) < len(files) and stored_rows(spark, path) == rows  # the hidden files are gone
+
+    real = sink.finish_compaction
+    calls = []
+
+    def once(*args):
+        calls.append(1)
+        if len(calls) > 1:
+            raise Died
+        real(*args)
+
+    monkeypatch.setattr(sink, "finish_compaction", once)  # announced, but not changed over
+    with pytest.raises(Died):
+        compact_small_files(spark, path)
+    monkeypatch.undo()
+    hidden = next(f for f in (tmp_path / "articles").iterdir() if f.name.startswith("_gathered"))
+    old = [line.removeprefix("file:") for line in (hidden / "replaces").read_text().splitlines()]
+    part = next(hidden.glob("source_bucket=*/*.parquet"))
+    part.rename(tmp_path / "articles" / part.parent.name / part.name)  # one new file is in place already, one old one gone
+    Path(old[0]).unlink()
+    sink.finish_compaction(spark, path)
+    assert stored_rows(spark, path) == rows and not set(old) & {str(tmp_path / f) for f in table_files(tmp_path)}
+    sink.finish_compaction(spark, str(tmp_path / "nowhere"))
+
+
 def test_export_dataset(spark, tmp_path, make_articles):
     assert export_dataset(make_articles().filter("false"), str(tmp_path / "none")) == 0
     assert not (tmp_path / "none").exists()
@@ -188,5 +312,5 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path, make_articles):
     assert "ReadSchema: struct<url:string,publish_date:string>" in text
     assert "LessThanOrEqual(batch_id,3)" in plan(a.articles_as_of(stored, 3))
     assert "EqualTo(content_hash,h)" in plan(a.hash_exists(stored, "h"))
-    assert "ReadSchema: struct<url:string>" in plan(metrics.stats_by_source(stored))
+    assert "ReadSchema: struct<url:string,source_domain:string>" in plan(metrics.stats_by_source(stored))
     assert "TakeOrderedAndProject" in plan(a.recent_articles(stored))

@@ -136,3 +136,17 @@ def test_checks_without_a_service_keep_one_state(spark):
     changes, state = advance_status(one(2, "DOWN"), state)
     assert [(r["previous"], r["check_number"]) for r in dicts(changes)] == [("UP", 2)]
     assert [(r["status"], r["checks"]) for r in dicts(state)] == [("DOWN", 2)]
+
+
+def test_builds_gather_small_files_as_they_go(spark, tmp_path, monkeypatch):
+    from corpuslake.plans import ingest
+
+    index, store = corpus(spark, tmp_path), Store(str(tmp_path / "store"))
+    gathered, real = [], ingest.compact_small_files
+    monkeypatch.setattr(ingest, "compact_small_files", lambda spark, path: gathered.append(real(spark, path, fan_in=2)))
+    for i, end in enumerate(["2020-04-01", "2020-04-02", None]):
+        args = {**ARGS, "patterns": ["*.stuff.co.nz/", "*.rnz.co.nz/", "*.other.com/"]}
+        run_build(spark, index, str(tmp_path / "warc"), store, i, date_end=end, compact_every=2, **args)
+    assert len(gathered) == 1
+    urls = {r["url"] for r in dicts(scan_articles(spark, store.articles))}
+    assert urls == {"https://www.stuff.co.nz/covid-1", "https://www.rnz.co.nz/covid-2", "https://other.com/covid"}
