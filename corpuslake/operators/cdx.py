@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..defaults import CRAWL_IDS, DOMAIN_PATTERNS, KEYWORDS
-from ..functions import host, host_suffixes, lower_contains, stamp_bound
+from ..functions import host, lower_contains, stamp_bound
 from .ranking import first_per_key, top_n_per_key
 
 PAIR = ["crawl_id", "domain_pattern"]
@@ -24,24 +24,36 @@ def pattern_table(spark: SparkSession, patterns: Sequence[str] = DOMAIN_PATTERNS
     return spark.createDataFrame(pa.table({"domain_pattern": list(dict.fromkeys(patterns))}))
 
 
+#: Parts that the rows of a bare top-level domain are cut into; its rules, a few thousand in the world, go to all of them.
+SALTS = 32
+
+
 def domain_match(index: DataFrame, patterns: DataFrame) -> DataFrame:
     """Index rows with each host pattern they fall under.
 
-    A host is expanded to its suffixes, so the suffix match is an equi-join: a hash join over the
-    patterns when Spark finds them small, a shuffled one otherwise, and never a nested loop.
+    A host is expanded to its suffixes of those lengths (in labels) that some pattern has, so the match is an equi-join: a
+    hash join over the patterns when Spark finds them small, a shuffled one otherwise, and never a nested loop. No row is
+    made for lengths that no pattern has, so ``com`` is a key only if ``*.com`` is a pattern; and then the key is cut into
+    SALTS parts. Adaptive execution cuts longer suffixes that hold a large share.
     """
     bare = F.regexp_replace(F.lower("domain_pattern"), r"^[a-z]+://", "")
     rules = patterns.select(
         "domain_pattern",
         F.startswith(bare, F.lit("*.")).alias("_below"),
         F.regexp_extract(bare, r"^(?:\*\.)?([^/]*)", 1).alias("_suffix"),
-    )
+    ).withColumn("_labels", F.size(F.split("_suffix", r"\.")))
+    depths = rules.agg(F.coalesce(F.collect_set("_labels"), F.array().cast("array<int>")).alias("depths")).scalar()
+    salts = F.when(F.col("_labels") == 1, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    rules = rules.withColumn("_salt", F.explode(salts)).drop("_labels")
+    spread = index.withColumn("_host", host("url")).withColumn("_n", F.explode(depths))
+    spread = spread.filter(F.col("_n") <= F.size(F.split("_host", r"\.")))
+    spread = spread.withColumn("_suffix", F.call_function("substring_index", "_host", F.lit("."), -F.col("_n"))).drop("_n")
+    salt = F.when(F.contains("_suffix", F.lit(".")), 0).otherwise(F.pmod(F.xxhash64("url"), F.lit(SALTS))).cast("int")
     return (
-        index.withColumn("_host", host("url"))
-        .withColumn("_suffix", F.explode(host_suffixes("_host")))
-        .join(rules, "_suffix", "inner")
+        spread.withColumn("_salt", salt)
+        .join(rules, ["_suffix", "_salt"], "inner")
         .filter(F.col("_below") | (F.col("_suffix") == F.col("_host")))
-        .drop("_host", "_suffix", "_below")
+        .drop("_host", "_suffix", "_below", "_salt")
     )
 
 

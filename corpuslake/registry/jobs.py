@@ -30,7 +30,9 @@ from ..sources.tables import (
     scan_quarantine,
 )
 from ..plans.labelling import run_labelling
+from ..operators import rollup
 from ..operators.classify import keyword_scorer
+from ..sinks.versions import latest
 from ..plans.ingest import Store, run_build
 from ..streaming import jobs
 from . import Query, Views
@@ -265,6 +267,31 @@ def _stream_daily(v: Views) -> DataFrame:
     return jobs.latest_daily_counts(versions)
 
 
+def _rollup(v: Views) -> DataFrame:
+    """The rollup that a stream of the documents leaves behind."""
+    path, checkpoint = _new(v, "rollup"), _new(v, "checkpoint")
+    for arriving in _documents(v):
+        jobs.stream_rollup(v.as_articles(arriving), path, checkpoint).awaitTermination()
+    return latest(v.spark, path, rollup.SCHEMA)
+
+
+def _late_checks(v: Views) -> DataFrame:
+    """Checks that arrive in any order within a day, in three parts."""
+    path, checkpoint, late_by = _new(v, "status"), _new(v, "checkpoint"), 86_400
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = v.table("events").agg(F.min(at), F.max(at)).first()
+    delayed = at + F.pmod(F.xxhash64("event_id"), F.lit(late_by)) * 1_000_000
+    third = F.least(F.floor((delayed - first) * 3 / max(1, last - first)), F.lit(2))
+    for arriving in v.arriving("events", [third == i for i in range(3)]):
+        checks = arriving.select(
+            F.lit("index").alias("service"), "ts", F.col("event_id").alias("check_id"),
+            F.when(F.col("event_type") == "error", "DOWN").otherwise("UP").alias("status"),
+        )
+        jobs.stream_status_changes(checks, path, checkpoint, late_by).awaitTermination()
+    waiting = jobs.pending_changes(v.spark, path, checks.schema)
+    return v.spark.read.parquet(f"{path}/changes").drop("version").unionByName(waiting).drop("ts")
+
+
 def _stream_status(v: Views) -> DataFrame:
     path, checkpoint = _new(v, "status"), _new(v, "checkpoint")
     for arriving in _events(v):
@@ -366,5 +393,26 @@ QUERIES = {
     "stream_daily_counts": Query(
         _stream_daily, "SELECT publish_date, count(url) AS article_count FROM articles GROUP BY ALL"
     ),
+    "stream_rollup": Query(
+        _rollup,
+        """SELECT source_domain, language, publish_date, crawl_id, count(*) AS n_rows, count(url) AS n_urls,
+                  count(content) AS n_texts, cast(sum(length(content)) AS bigint) AS n_chars FROM articles GROUP BY ALL""",
+    ),
+    "rollup_source_salience": Query(
+        lambda v: rollup.salience(_rollup(v), "source_domain").withColumn("avg_content_length", F.round("avg_content_length", 6)),
+        """SELECT source_domain, count(url) AS article_count, round(avg(length(content)), 6) AS avg_content_length
+           FROM articles GROUP BY ALL""",
+    ),
+    "rollup_temporal_salience": Query(
+        lambda v: rollup.temporal_salience(_rollup(v)),
+        """SELECT publish_date, count(url) AS article_count, cast(sum(length(content)) AS bigint) AS total_content_length
+           FROM articles GROUP BY ALL""",
+    ),
+    "rollup_statistics": Query(
+        lambda v: rollup.total_statistics(_rollup(v)),
+        """SELECT count(*) AS total_articles, count(DISTINCT source_domain) AS unique_sources,
+                  count(DISTINCT language) AS unique_languages FROM articles""",
+    ),
     "stream_status_changes": Query(_stream_status, _changes_sql("checks")),
+    "stream_status_late": Query(_late_checks, _changes_sql("checks")),
 }

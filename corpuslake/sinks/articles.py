@@ -71,33 +71,42 @@ def insert_batch(rows: DataFrame, path: str, batch_id: int | None = None) -> Bat
     return insert_staged(rows.sparkSession.read.schema(ARTICLES).parquet(stage), path, batch_id)
 
 
-def insert_staged(staged: DataFrame, path: str, batch_id: int | None = None) -> BatchResult:
-    """``insert_batch`` for rows that lie in Parquet files already; ``staged`` reads them, filtered or not.
-
-    1. The winners are found on narrow columns and written as (file, row) places. ``min`` of a struct is
-       a partial aggregate, so a hash with a third of all rows leaves each map task as one row.
-    2. The full rows are fetched by their place in the staged files, a key without duplicates.
-    """
+def _places(staged: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Staged rows with their places, and the places of those that are the first of their hash and not stored."""
     spark = staged.sparkSession
-    init_articles(spark, path)
-    if batch_id is None:
-        batch_id = next_batch_id(scan_articles(spark, path))
-    places = scratch_path(spark, "places")
     staged = staged.select(
         *ARTICLE_COLUMNS, F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
     )
     place = F.struct("timestamp", "url", "_file", "_row")
-    first = scratch_path(spark, "winners")
+    first, places = scratch_path(spark, "winners"), scratch_path(spark, "places")
     winners = staged.groupBy("content_hash").agg(F.min(place).alias("w")).select("content_hash", "w._file", "w._row")
     winners.write.parquet(first)
     winners = spark.read.schema("content_hash string, _file string, _row long").parquet(first)
-    new = anti_existing_hash(winners, scan_articles(spark, path), rows_are_cheap=True)
-    new.select("_file", "_row").write.parquet(places)
+    anti_existing_hash(winners, stored, rows_are_cheap=True).select("_file", "_row").write.parquet(places)
+    return staged, spark.read.schema("_file string, _row long").parquet(places)
+
+
+def fresh_rows(staged: DataFrame, stored: DataFrame) -> DataFrame:
+    """Of rows that lie in Parquet files one per content hash (earliest timestamp, then url), if ``stored`` has not got it.
 
-    fresh = spark.read.schema("_file string, _row long").parquet(places)
-    received, inserted = staged.count(), fresh.count()
+    1. The winners are found on narrow columns and written as (file, row) places. ``min`` of a struct is
+       a partial aggregate, so a hash with a third of all rows leaves each map task as one row.
+    2. The full rows are fetched by their place in the staged files, a key without duplicates.
+    """
+    rows, places = _places(staged, stored)
+    return rows.join(places, ["_file", "_row"], "left_semi")
+
+
+def insert_staged(staged: DataFrame, path: str, batch_id: int | None = None) -> BatchResult:
+    """``insert_batch`` for rows that lie in Parquet files already; ``staged`` reads them, filtered or not."""
+    spark = staged.sparkSession
+    init_articles(spark, path)
+    if batch_id is None:
+        batch_id = next_batch_id(scan_articles(spark, path))
+    rows, places = _places(staged, scan_articles(spark, path))
+    received, inserted = staged.count(), places.count()
     if inserted:
-        append_articles(staged.join(fresh, ["_file", "_row"], "left_semi"), path, batch_id)
+        append_articles(rows.join(places, ["_file", "_row"], "left_semi"), path, batch_id)
     return BatchResult(batch_id, received, inserted)
 
 
