@@ -1,13 +1,17 @@
 """Registered queries over the smallest tables against plain Python."""
 
 import hashlib
+import math
+import struct
 import zlib
 
 import plain
 import pytest
+import xxhash
 from conftest import DATA
 
-from corpuslake.llm import decontam, mix, secrets, shards
+from corpuslake.llm import decontam, lm, mix, secrets, shards
+from corpuslake.llm.columns import held_out
 from corpuslake.llm.queries import QUERIES
 
 
@@ -86,7 +90,7 @@ def test_quality(spark, docs):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (n, chars, symbols, dup, repeat)
         assert r.base_failed == (n < 10 or 100 * repeat > 20 * n)
         assert not (r.kept and r.base_failed)
-    sound = [r for r in got.values() if not r.base_failed]
+    sound = [r for r in got.values() if not r.base_failed and 10 * r.n_symbols <= r.n_words]
     assert sum(r.kept for r in sound) >= 0.95 * len(sound)
 
 
@@ -131,3 +135,42 @@ def test_leaks_in_parts_of_the_benchmark(spark, monkeypatch):
     whole = found()
     monkeypatch.setattr(decontam, "MOST_BYTES", 3000)
     assert found() == whole
+
+
+def rendezvous(key, weights):
+    """The shard of least exponential draw, from XXH64 alone."""
+    seed = xxhash.xxh64_intdigest(str(key).encode(), seed=42)
+    draws = []
+    for i, w in enumerate(weights):
+        h = xxhash.xxh64_intdigest(struct.pack("<i", i), seed=seed) & ((1 << 53) - 1)
+        draws.append((-math.log((h + 0.5) / (1 << 53)) / w, i))
+    return min(draws)[1]
+
+
+def test_shards_are_those_of_the_least_draws(spark, docs):
+    got = rows(spark, "op10_sharding")
+    assert {i: (r.shard, r.grown_shard) for i, r in got.items()} == {i: (rendezvous(i, [1.0] * 24), rendezvous(i, [1.0] * 25)) for i in docs}
+    df = spark.range(500).selectExpr("id AS doc_id", "'x' AS text")
+    weights = [0.5, 2.0, 1.0]
+    assert {r.doc_id: r.shard for r in shards.shard(df, weights).collect()} == {i: rendezvous(i, weights) for i in range(500)}
+
+
+def test_scores_sum_all_segmentations(spark, docs):
+    """``score`` of some texts from plain sums over the pieces that were fitted."""
+    frame = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text")
+    tagged = frame.select(held_out("doc_id", lm.FOLDS, lm.FOLD).alias("held_out"), "text")
+    pieces, logp, end = lm.fit(lm.word_table(tagged), tagged.filter("not held_out").count())
+    share, longest, known = {p: math.exp(x) for p, x in zip(pieces, logp, strict=True)}, max(map(len, pieces)), {}
+
+    def word(w):
+        if w not in known:
+            spelled, sums = b" " + w, [1.0]
+            for j in range(1, len(spelled) + 1):
+                sums.append(sum(sums[i] * share.get(spelled[i:j], 0.0) for i in range(max(0, j - longest), j)))
+            known[w] = math.log(sums[-1])
+        return known[w]
+
+    got = rows(spark, "op5_lm_scoring")
+    for i in sorted(docs)[::9]:
+        want = (sum(word(w) for w in plain.lowered(docs[i].text).encode().split()) + end) / math.log(10)
+        assert got[i].score == pytest.approx(want, rel=1e-9)
