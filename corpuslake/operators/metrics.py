@@ -194,12 +194,11 @@ def salience_sections(articles: DataFrame) -> DataFrame:
     )
 
 
-def metric_frames(articles: DataFrame) -> dict[str, DataFrame]:
-    """The three frames of the metrics export, all from the table of counts by source and day."""
-    both = articles_per_source_day(articles)
+def metric_frames(both: DataFrame) -> dict[str, DataFrame]:
+    """The three frames of the metrics export, all from the counts of ``articles_per_source_day``."""
     total = F.sum("article_count").alias("article_count")
     return {
         "articles_per_day": both.groupBy("publish_date").agg(total).orderBy("publish_date"),
         "articles_per_source": both.groupBy("source_domain").agg(total).orderBy(_DESC("article_count"), "source_domain"),
-        "articles_per_source_per_day": both,
+        "articles_per_source_per_day": both.orderBy("source_domain", "publish_date"),
     }

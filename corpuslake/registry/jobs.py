@@ -30,6 +30,7 @@ from ..sources.tables import (
     scan_quarantine,
 )
 from ..plans.labelling import run_labelling
+from ..plans.search import extend_search_index, search_indexed
 from ..operators import rollup
 from ..operators.classify import keyword_scorer
 from ..sinks.versions import latest
@@ -109,6 +110,16 @@ def _compact_small(v: Views) -> DataFrame:
     return scan_articles(v.spark, path).join(files).select(*_COLS, "batch_id", kept.alias("few_files"))
 
 
+def _search(v: Views) -> DataFrame:
+    """Articles by day in files of their own, half of them indexed before the rest come."""
+    path, index = _new(v, "searched"), _new(v, "triples")
+    for batch, rows in enumerate(["doc_id % 2 = 0", "doc_id % 2 = 1"]):
+        append_articles(v.hashed.filter(rows), path, batch)
+        extend_search_index(v.spark, path, index)
+    append_articles(v.hashed.filter("false"), path, 2)
+    return search_indexed(v.spark, path, index, r"[Rr]eleased under|Thoring|xyz\d{40}zyx", columns=_COLS)
+
+
 def _export(v: Views) -> DataFrame:
     out = _new(v, "metrics")
     export_metrics(v.articles, out, "csv")
@@ -326,6 +337,11 @@ QUERIES = {
         f"""SELECT {_A}, CASE language WHEN 'en' THEN 0 ELSE 1 END::bigint AS batch_id
             FROM hashed""",
     ),
+    "search_indexed": Query(
+        _search,
+        rf"""SELECT {_A} FROM hashed WHERE regexp_matches(title, '[Rr]eleased under|Thoring|xyz\d{{40}}zyx')
+              OR regexp_matches(content, '[Rr]eleased under|Thoring|xyz\d{{40}}zyx')""",
+    ),
     "scan_articles_of_source": Query(_of_source, f"SELECT {_A} FROM hashed WHERE source_domain IN ('src1', 'src3')"),
     "compact_small_files": Query(_compact_small, f"SELECT {_A}, doc_id % 8 AS batch_id, true AS few_files FROM hashed"),
     "export_metrics": Query(

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import build_prompt, keyword_category, normalize_category, truncate_text
 from ..operators import classify as k
+from ..operators import text_model as t
 from ..operators.metrics import category_counts
 from . import Query, Views
 
@@ -43,7 +44,61 @@ def _labels(v: Views):
     return k.classify_articles(v.articles, v.labels, k.keyword_scorer(TERMS))
 
 
+def _learned(v: Views):
+    """Articles whose language stands for a label: four in five teach, the fifth is labelled."""
+    teach, ask = F.col("doc_id") % 5 != 0, F.col("doc_id") % 5 == 0
+    return v.articles.filter(teach).withColumn("category", F.col("language")), v.articles.filter(ask)
+
+
+def _bayes_scores(v: Views):
+    teach, ask = _learned(v)
+    classes, weights = t.bayes_model(teach, t.title_and_text())
+    found = t.scores(ask, "url", F.transform(t.words(t.title_and_text()), t.slot), classes, weights)
+    return found.select("url", F.col("class").alias("category"), F.round("score", 4).alias("log_score"))
+
+
+def _bayes_labels(v: Views):
+    teach, ask = _learned(v)
+    none = v.labels.limit(0)
+    return k.classify_articles(ask, none, t.bayes_scorer(teach))
+
+
+_BAYES = rf"""
+  terms AS (SELECT doc_id, url, language,
+                   list_filter(string_split_regex(lower(concat_ws(' ', title, content)), '[^\p{{L}}]+'), lambda w: w <> '') AS w FROM articles),
+  slots AS (SELECT doc_id, url, language, ('0x' || left(md5(unnest(w)), 3))::INT AS slot FROM terms),
+  taught AS (SELECT language AS category, count(*) AS texts, sum(len(w)) AS n FROM terms WHERE doc_id % 5 <> 0 GROUP BY language),
+  counts AS (SELECT language AS category, slot, count(*) AS n FROM slots WHERE doc_id % 5 <> 0 GROUP BY ALL),
+  hits AS (SELECT url, category, sum(ln(n + 1)) AS more FROM slots JOIN counts USING (slot) WHERE doc_id % 5 = 0 GROUP BY ALL),
+  bayes AS (SELECT url, category,
+                   ln(texts / (SELECT sum(texts) FROM taught)) - len(w) * ln(n + {t.SLOTS}) + coalesce(more, 0) AS score
+            FROM terms CROSS JOIN taught LEFT JOIN hits USING (url, category) WHERE doc_id % 5 = 0)"""
+_GROUPS = r"""
+  spelled AS (SELECT doc_id, url, language, unnest(list_filter(string_split_regex(lower(content), '[^\p{L}]+'), lambda w: w <> '')) AS w FROM articles),
+  groups AS (SELECT doc_id, url, language, unnest(list_concat(
+               list_transform(range(1, length(w) + 2), lambda i: substr('_' || w || '_', i, 2)),
+               list_transform(range(1, length(w) + 1), lambda i: substr('_' || w || '_', i, 3)))) AS token FROM spelled),
+  profiles AS (SELECT language, token, row_number() OVER (PARTITION BY language ORDER BY count(*) DESC, token) - 1 AS rank
+               FROM groups WHERE doc_id % 5 <> 0 GROUP BY language, token)"""
+
 QUERIES = {
+    "bayes_scores": Query(_bayes_scores, f"WITH {_BAYES} SELECT url, category, round(score, 4) AS log_score FROM bayes"),
+    "classify_by_bayes": Query(
+        _bayes_labels,
+        f"""WITH {_BAYES} SELECT url, category FROM bayes
+            QUALIFY row_number() OVER (PARTITION BY url ORDER BY score DESC, category) = 1""",
+    ),
+    "language_profiles": Query(
+        lambda v: t.language_profiles(_learned(v)[0]), f"WITH {_GROUPS} SELECT language, token, rank::INT AS rank FROM profiles WHERE rank < {t.PROFILE}"
+    ),
+    "languages_by_profile": Query(
+        lambda v: t.languages_by_profile(_learned(v)[1], t.language_profiles(_learned(v)[0])),
+        f"""WITH {_GROUPS},
+            near AS (SELECT url, p.language, sum({t.PROFILE} - rank) AS score FROM groups g JOIN profiles p USING (token)
+                     WHERE rank < {t.PROFILE} AND doc_id % 5 = 0 GROUP BY ALL),
+            first AS (SELECT url, language FROM near QUALIFY row_number() OVER (PARTITION BY url ORDER BY score DESC, language) = 1)
+            SELECT url, coalesce(first.language, 'unknown') AS language FROM articles LEFT JOIN first USING (url) WHERE doc_id % 5 = 0""",
+    ),
     "keyword_category": Query(
         lambda v: v.articles.select("url", keyword_category("title", "content", TERMS).alias("category")),
         f"WITH {_SCORED} SELECT url, category FROM scored",
