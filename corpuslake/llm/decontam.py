@@ -39,9 +39,15 @@ class Index:
     """Impacts of terms on items, as shares of each item's greatest possible score, with maxima per block of items."""
 
     def __init__(self, items: Sequence[tuple[int, bytes]]) -> None:
-        texts = [(i, tokens(t or b"")) for i, t in items]
-        texts = [(i, t) for i, t in texts if len(t) >= SHINGLE]
-        self.ids = [i for i, _ in texts]
+        spelled = [(place, i, tokens(t or b"")) for place, (i, t) in enumerate(items)]
+        texts = [(i, t) for _, i, t in spelled if len(t) >= SHINGLE]
+        # Items too short for a shingle are looked for as whole lines; their numbers follow those of the others.
+        short = [(place, i, t) for place, i, t in spelled if 0 < len(t) < SHINGLE]
+        self.short: dict[tuple[bytes, ...], list[int]] = {}
+        for k, (_, _, t) in enumerate(short, len(texts)):
+            self.short.setdefault(tuple(t), []).append(k)
+        self.ids = [i for i, _ in texts] + [i for _, i, _ in short]
+        self.places = [place for place, _, t in spelled if len(t) >= SHINGLE] + [place for place, _, _ in short]
         self.words = [t for _, t in texts]
         self.longest = max(map(len, self.words), default=1)
         mean = sum(map(len, self.words)) / max(1, len(self.words))
@@ -80,6 +86,12 @@ class Index:
         self.block_max = np.maximum.reduceat(impact, first) if len(first) else np.zeros(0)
         self.block_start = np.searchsorted(own[first], np.arange(len(kept) + 1))
 
+    def short_items(self, text: bytes) -> Iterator[int]:
+        """Items under SHINGLE words that make up a line of the text."""
+        if self.short:
+            for line in text.split(b"\n"):
+                yield from self.short.get(tuple(tokens(line)), ())
+
     def verified(self, item: int, passage: list[bytes]) -> float:
         """Share of the item's shingles in the passage, 0 if it or one of the item's halves falls short."""
         grams = lambda t: zip(*(t[i:] for i in range(SHINGLE)), strict=False)
@@ -94,7 +106,7 @@ class Index:
 
     def search(self, docs: list[list[bytes]]) -> Iterator[tuple[int, int, float, float]]:
         """(document, item, score, overlap) of all verified items. Passages are as long as two items and overlap by half."""
-        if not self.ids:
+        if not self.words:
             return
         size = self.longest
         counts = np.fromiter(map(len, docs), np.int64, len(docs))
@@ -154,19 +166,23 @@ def _searcher(items):
             found: list[dict[int, tuple[float, float]]] = []
             part: list[list[bytes]] = []
             size = 0
+            whole: list[dict[int, tuple[float, float]]] = []
             for text in [*utf8(texts), None]:
                 if text is None or size > CHUNK:
                     first = len(found)
-                    found += [{} for _ in part]
+                    found += whole
+                    whole = []
                     for doc, item, score, overlap in index.search(part):
                         own = found[first + doc]
                         own[item] = max(own.get(item, (0.0, 0.0)), (overlap, score))
                     part, size = [], 0
                 if text is not None:
+                    whole.append(dict.fromkeys(index.short_items(text), (1.0, 1.0)))
                     part.append(tokens(text))
                     size += len(part[-1])
             yield pa.array(
-                [[{"item_id": index.ids[i], "score": s, "overlap": o} for i, (o, s) in sorted(f.items())] for f in found], kind
+                [[{"item_id": index.ids[i], "score": s, "overlap": o} for i, (o, s) in sorted(f.items(), key=lambda x: index.places[x[0]])] for f in found],
+                kind,
             )
 
     return search.asNondeterministic()
@@ -178,7 +194,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item: str
     All passages of all documents are queries; retrieved are all items of which a passage has THRESHOLD of the BM25
     score that the item's own text would have, found block by block of the index where the summed maxima of a block
     allow it. An item is a leak if a passage holds OVERLAP of its five-word shingles and HALF of those of either
-    half (question, answer). Case and punctuation are ignored. Items under five words or NULL are not looked for.
+    half (question, answer). Case and punctuation are ignored. Items under five words are leaks where they make up a line of
+    the document; items without words, or NULL, are not looked for.
     The items are read by the driver, MOST_BYTES at a time; each such part is a pass over the documents.
     """
     rows = items.select(F.col(f"`{item}`").cast("long").alias("id"), F.col(f"`{item_text}`").alias("text")).filter("text is not null")

@@ -184,6 +184,16 @@ def test_leaks(spark, docs, nothing):
     assert not any(r.leaks for r in decontam.find_leaks(docs, items.limit(0)).collect())
 
 
+def test_leaks_of_short_items(spark):
+    items = spark.createDataFrame([(7, "Forty two!"), (3, "forty-two"), (5, "forty two"), (6, "..."), (8, "one two three four five six")], "item_id long, text string")
+    texts = ["The answer:\nforty, two.\n", "forty two and more", "forty-two", "FORTY TWO\none two three four five six\nforty two", "...\n\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [x.item_id for x in r.leaks] for r in decontam.find_leaks(df, items).collect()}
+    assert got == {0: [5, 7], 1: [], 2: [3], 3: [5, 7, 8], 4: []}
+    only = {r.doc_id: [x.item_id for x in r.leaks] for r in decontam.find_leaks(df, items.filter("item_id < 8")).collect()}
+    assert only == {0: [5, 7], 1: [], 2: [3], 3: [5, 7], 4: []}
+
+
 def test_shards(docs, nothing):
     got = shards.shard(docs, [1.0, 1.0, 2.0], next_weight=1.0).collect()
     assert len(got) == len(ROWS)
