@@ -5,20 +5,27 @@ from __future__ import annotations
 import json
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DataType, StringType, StructField, StructType
 
-from .columns import without
 from .tasks import utf8
 
 VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 #: Strings and arcs that a worker remembers, in two generations of this size each; a bound on memory alone.
-REMEMBERED, ARCS = 300_000, 1_000_000
+REMEMBERED, ARCS = 100_000, 300_000
+#: Rows whose results are Python objects at a time.
+SLICE = 256
 _ASCII_WORDS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+# Letters that are composed, and have one lower-case letter among themselves, in every version of Unicode.
+_LETTERS = "À-ÖØ-öø-įı-ſЀ-џ"
+_SIMPLE = re.compile(f"[\x00-\x7f{_LETTERS}]*")
+_SIMPLE_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LETTERS}]+|[0-9]|[^a-z0-9{_LETTERS}]+")
 
 
 def byte_labels() -> list[str]:
@@ -57,18 +64,11 @@ class Automaton:
                 self.closed[u * size + v] = 2 * time
                 symbols[w] = symbols[u] + symbols[v]
         self.length = array("i", [0]) * size
-        self.next: dict[int, int] = {}
-        self.token = array("i", [-1])
+        self.spellings = ahocorasick.Automaton()
         for t, path in symbols.items():
             self.length[t] = len(path)
-            node = 0
-            for s in path:
-                key = node << 9 | s
-                node = self.next.get(key, 0)
-                if not node:
-                    node = self.next[key] = len(self.token)
-                    self.token.append(-1)
-            self.token[node] = t
+            self.spellings.add_word("".join(map(chr, path)), t)
+        self.spellings.make_automaton()
 
     def _arc(self, state: int, label: int, now: int) -> bool:
         """Whether the state behind ``state`` has the arc ``label`` before the time ``now``.
@@ -97,41 +97,33 @@ class Automaton:
         return found
 
     def path(self, word: bytes) -> array:
-        """The labels of the one path that spells the word. At every place just one arc of that kind ends; it is found
-        by following the spellings of arcs from each place in turn, so time and memory grow with the length alone."""
+        """The labels of the one path that spells the word.
+
+        One run over the word finds where arcs are spelled. At every place just one of those that end there goes on from the
+        path to where it begins; so time and memory grow with the length alone.
+        """
         n = len(word)
-        spelled = array("H")
-        spelled.extend(word)
-        spelled[-1] += 256
-        ends = array("i", [-1]) * (n + 1)
-        step, token, known, size = self.next.get, self.token, self.known.get, self.width
-        for i in range(n):
-            if ends[n] >= 0:
-                break
-            state, node = ends[i], 0
-            if i and state < 0:
-                raise ValueError("the vocabulary lacks a byte")
-            row = state * size
-            for j in range(i, n):
-                node = step(node << 9 | spelled[j])
-                if node is None:
-                    break
-                label = token[node]
-                if label >= 0 and ends[j + 1] < 0:
-                    if i:
-                        there = known(row + label)
-                        if there is None:
-                            there = self.arc(state, label)
-                        if not there:
-                            continue
-                    ends[j + 1] = label
-        out, at = array("I"), n
-        while at:
-            label = ends[at]
-            if label < 0:
+        spelled = word[:-1].decode("latin-1") + chr(256 + word[-1])
+        ends = array("i", [-1]) * n
+        known, size, length, done = self.known.get, self.width, self.length, -1
+        for end, label in self.spellings.iter(spelled):
+            if end == done:
+                continue
+            before = end - length[label]
+            if before >= 0:
+                state = ends[before]
+                there = known(state * size + label)
+                if there is None:
+                    there = state >= 0 and self.arc(state, label)
+                if not there:
+                    continue
+            ends[end], done = label, end
+        out, at = array("I"), n - 1
+        while at >= 0:
+            if ends[at] < 0:
                 raise ValueError("the vocabulary lacks a byte")
-            out.append(label)
-            at -= self.length[label]
+            out.append(ends[at])
+            at -= length[ends[at]]
         out.reverse()
         return out
 
@@ -154,7 +146,7 @@ class _Remembered(dict):
 
 
 class Coder:
-    """Encoder and decoder of one vocabulary file, its text splitting as the file says."""
+    """Encoder of one vocabulary file, its text splitting as the file says."""
 
     def __init__(self, written: str) -> None:
         from tokenizers import Tokenizer
@@ -163,8 +155,6 @@ class Coder:
         model = content["model"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.automaton = Automaton(model["vocab"], merges, model.get("end_of_word_suffix") or "")
-        labels = {i: t for t, i in model["vocab"].items()} | {a["id"]: a["content"] for a in content["added_tokens"]}
-        self.labels = [labels.get(i) for i in range(max(labels) + 1)]
         library = Tokenizer.from_str(written)
         self.normalizer, self.splitter = library.normalizer, library.pre_tokenizer
         self.special = {a["content"].encode(): a["id"] for a in content["added_tokens"]}
@@ -176,6 +166,8 @@ class Coder:
 
     def _string(self, string: bytes) -> bytes:
         """Ids of a string without ASCII white space."""
+        if string.isalpha():  # ASCII letters alone
+            return self.words[string.lower()]
         if self.cut is None or b"<" not in string:
             return self._plain(string)
         out = []
@@ -186,9 +178,16 @@ class Coder:
     def _plain(self, string: bytes) -> bytes:
         words = self.words
         if string.isascii():
-            return b"".join([words[w] if len(w) < 64 else words.make(w) for w in _ASCII_WORDS.findall(string.lower())])
-        text = self.normalizer.normalize_str(string.decode("utf-8", "replace"))
-        found = (w.translate(self.to_byte).encode("latin-1") for w, _ in self.splitter.pre_tokenize_str(text))
+            found = _ASCII_WORDS.findall(string.lower())
+        else:
+            text = string.decode("utf-8", "replace")
+            if _SIMPLE.fullmatch(text):
+                found = [w.encode() for w in _SIMPLE_WORDS.findall(text.lower())]
+            else:
+                pieces = self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text))
+                found = [w.translate(self.to_byte).encode("latin-1") for w, _ in pieces]
+        if len(found) == 1 and len(found[0]) < 64:
+            return words[found[0]]
         return b"".join([words[w] if len(w) < 64 else words.make(w) for w in found])
 
     def encode(self, text: bytes) -> bytes:
@@ -196,6 +195,15 @@ class Coder:
         strings = self.strings
         return b"".join([strings[s] if len(s) < 64 else strings.make(s) for s in text.split()])
 
+
+class Labels:
+    """The arc labels of one vocabulary file, special tokens included, by id."""
+
+    def __init__(self, written: str) -> None:
+        content = json.loads(written)
+        labels = {i: t for t, i in content["model"]["vocab"].items()} | {a["id"]: a["content"] for a in content["added_tokens"]}
+        self.labels = [labels.get(i) for i in range(max(labels) + 1)]
+
     def decode(self, ids: bytes) -> str:
         labels, last = self.labels, len(self.labels)
         found = np.frombuffer(ids, "<u4")
@@ -204,16 +212,17 @@ class Coder:
         return " ".join([x for x in map(labels.__getitem__, found.tolist()) if x is not None])
 
 
-_CODERS: dict[int, Coder] = {}
+_COMPILED: dict[tuple, Coder | Labels] = {}
 
 
-def _coder(written) -> Coder:
-    """The coder of this worker; compiled once, whatever the number of tasks."""
-    key = hash(written.value)
-    if key not in _CODERS:
-        _CODERS.clear()
-        _CODERS[key] = Coder(written.value)
-    return _CODERS[key]
+def _compiled(kind, written):
+    """The coder or the labels of this worker, made once, whatever the number of tasks."""
+    key = kind, hash(written.value)
+    if key not in _COMPILED:
+        if len(_COMPILED) > 1:
+            _COMPILED.clear()
+        _COMPILED[key] = kind(written.value)
+    return _COMPILED[key]
 
 
 def _written(spark, vocabulary: str):
@@ -221,23 +230,45 @@ def _written(spark, vocabulary: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-def encode(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY, ids: str = "ids") -> DataFrame:
-    """``docs`` with a binary column ``ids``: the whole text's token ids, 32 bits each, lowest byte first.
+def _mapped(rows: DataFrame, source: str, keep: Sequence[str], names: list[str], kinds: list[DataType], make) -> DataFrame:
+    """The columns ``keep`` of ``rows`` with further ones of these names, which ``make`` gives for a stretch of the column ``source``.
+
+    Batches are handed on SLICE rows at a time, so that a task holds little more than the batch it has been given.
+    """
+    taken = {n.lower() for n in names}
+    kept = [c for c in keep if c.lower() not in taken]
+    form = StructType([*[rows.schema[c] for c in kept], *[StructField(n, k) for n, k in zip(names, kinds, strict=True)]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], *make(part.column(0))], names=form.names)
+
+    return rows.select(F.col(f"`{source}`").alias("__source"), *[F.col(f"`{c}`") for c in kept]).mapInArrow(run, form)
+
+
+def encode(
+    docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY, ids: str = "ids", decoded: str | None = None, keep: Sequence[str] | None = None
+) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all by default) with a binary column ``ids``: the whole text's token ids, 32 bits each,
+    lowest byte first. With ``decoded`` a column of that name holds what ``decode`` makes of the ids.
 
     Texts are normalised and split into words as the vocabulary file says (a ``tokenizers`` file whose model is byte-level
     BPE with a word end); special tokens in a text are tokens. NULL, empty and blank texts have no ids. Equal texts
-    have equal ids. A column of the input that is named like ``ids`` is replaced. The file is read by the driver.
+    have equal ids. Columns of the input that are named like new ones are replaced. The file is read by the driver.
     """
     written = _written(docs.sparkSession, vocabulary)
 
-    @F.arrow_udf("binary")
-    def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        one = _coder(written).encode
-        for texts in batches:
-            yield pa.array([one(t) for t in utf8(texts)], pa.binary())
+    def coded(texts: pa.Array) -> list[pa.Array]:
+        packed = list(map(_compiled(Coder, written).encode, utf8(texts)))
+        out = [pa.array(packed, pa.binary())]
+        if decoded is not None:
+            out.append(pa.array(list(map(_compiled(Labels, written).decode, packed)), pa.string()))
+        return out
 
-    rows = docs.withColumn("__ids", coded.asNondeterministic()(F.col(f"`{text}`")))
-    return without(rows, [ids]).withColumnRenamed("__ids", ids)
+    names, kinds = [ids, *([decoded] if decoded is not None else [])], [BinaryType(), StringType()]
+    return _mapped(docs, text, docs.columns if keep is None else keep, names, kinds[: len(names)], coded)
 
 
 def decode(rows: DataFrame, ids: str = "ids", vocabulary: str = VOCABULARY, text: str = "decoded") -> DataFrame:
@@ -245,14 +276,11 @@ def decode(rows: DataFrame, ids: str = "ids", vocabulary: str = VOCABULARY, text
     a decoder has it. NULL is empty; ids outside the vocabulary are left out."""
     written = _written(rows.sparkSession, vocabulary)
 
-    @F.arrow_udf("string")
-    def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        one = _coder(written).decode
-        for packed in batches:
-            yield pa.array([one(x or b"") for x in packed.to_pylist()], pa.string())
+    def read(packed: pa.Array) -> list[pa.Array]:
+        one = _compiled(Labels, written).decode
+        return [pa.array([one(x or b"") for x in packed.to_pylist()], pa.string())]
 
-    out = rows.withColumn("__text", read.asNondeterministic()(F.col(f"`{ids}`")))
-    return without(out, [text]).withColumnRenamed("__text", text)
+    return _mapped(rows, ids, rows.columns, [text], [StringType()], read)
 
 
 def unpacked(ids: Column) -> Column:

@@ -150,8 +150,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
-    return bpe.decode(coded).select(
+    return bpe.encode(_table(spark, sf_dir, "documents"), decoded="decoded", keep=["doc_id"]).select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )

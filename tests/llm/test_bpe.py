@@ -16,14 +16,14 @@ from corpuslake.llm.queries import QUERIES
 
 WRITTEN = open(bpe.VOCABULARY, encoding="utf-8").read()
 LIBRARY = Tokenizer.from_str(WRITTEN)
-CODER = bpe.Coder(WRITTEN)
+CODER, LABELS = bpe.Coder(WRITTEN), bpe.Labels(WRITTEN)
 
 
 def same(text):
     want = LIBRARY.encode(text, add_special_tokens=False).ids
     got = CODER.encode(text.encode())
     assert np.frombuffer(got, "<u4").tolist() == want
-    assert CODER.decode(got) == LIBRARY.decode(want, skip_special_tokens=False)
+    assert LABELS.decode(got) == LIBRARY.decode(want, skip_special_tokens=False)
 
 
 def test_every_character_of_the_first_planes():
@@ -157,5 +157,8 @@ def test_edges(spark):
         assert np.frombuffer(bytes(r.codes), "<u4").tolist() == ids and r.list == ids
         assert r.back == LIBRARY.decode(ids, skip_special_tokens=False)
     assert "ids" in bpe.encode(df).columns and bpe.encode(df.limit(0)).collect() == []
+    both = bpe.encode(df, decoded="words", keep=["doc_id", "decoded"])
+    assert both.columns == ["doc_id", "decoded", "ids", "words"]
+    assert sorted((str(r.doc_id), bytes(r.ids), r.words) for r in both.collect()) == sorted((str(r.doc_id), bytes(r.codes), r.back) for r in got)
     odd = spark.createDataFrame([(bytearray(np.array([49407, 900_000, 320], "<u4").tobytes()),), (None,)], "ids binary")
     assert [r.decoded for r in bpe.decode(odd).collect()] == ["<|endoftext|> a</w>", ""]
