@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -128,6 +129,8 @@ def compact_articles(spark: SparkSession, source: str, target: str, max_rows_per
 
 #: Files of a table below this size are gathered, so many of about the same size at a time.
 SMALL_BYTES, FAN_IN = 128 << 20, 4
+#: Names of files from which on those gathered so far change over.
+MOST_NAMES = 10_000
 _LEAST_TIER = 64 << 10
 
 
@@ -161,22 +164,24 @@ def compact_small_files(spark: SparkSession, path: str, small_bytes: int = SMALL
     readers of the table's files during the change-over itself may see rows twice.
     """
     finish_compaction(spark, path)
-    gathered = 0
-    while True:
-        # At most so many names come to the driver per round.
-        found = small_groups(data_files(spark, path), small_bytes, fan_in).orderBy("source_bucket", "tier").limit(10_000).collect()
-        groups: dict[tuple, list[str]] = {}
-        for r in found:
-            groups.setdefault((r["source_bucket"], r["tier"]), []).append(r["path"])
-        old = [p for group in groups.values() if len(group) >= fan_in for p in group]
-        if not old:
-            return gathered
-        hidden = f"{path.rstrip('/')}/_gathered-{uuid.uuid4().hex}"
-        rows = spark.read.schema(STORED_ARTICLES).parquet(*old)
-        laid_out(rows).write.partitionBy("source_bucket").parquet(hidden)
-        _announce(spark, hidden, old)
-        finish_compaction(spark, path)
-        gathered += len(old)
+    found = small_groups(data_files(spark, path), small_bytes, fan_in).orderBy("source_bucket", "tier")
+    gathered, names = 0, []
+    # The files are listed once; names come to the driver a stretch at a time.
+    for _, group in groupby(found.toLocalIterator(), key=lambda r: (r["source_bucket"], r["tier"])):
+        names += [r["path"] for r in group]
+        if len(names) >= MOST_NAMES:
+            gathered += _gather(spark, path, names)
+            names = []
+    return gathered + (_gather(spark, path, names) if names else 0)
+
+
+def _gather(spark: SparkSession, path: str, old: list[str]) -> int:
+    hidden = f"{path.rstrip('/')}/_gathered-{uuid.uuid4().hex}"
+    rows = spark.read.schema(STORED_ARTICLES).parquet(*old)
+    laid_out(rows).write.partitionBy("source_bucket").parquet(hidden)
+    _announce(spark, hidden, old)
+    finish_compaction(spark, path)
+    return len(old)
 
 
 def _announce(spark: SparkSession, hidden: str, old: list[str]) -> None:

@@ -223,6 +223,15 @@ def test_small_files_are_gathered_in_place(spark, tmp_path):
     assert compact_small_files(spark, path) == 0 and table_files(tmp_path) == after
 
 
+def test_names_come_in_stretches(spark, tmp_path, monkeypatch):
+    from corpuslake.sinks import articles as sink
+
+    path = filled(spark, tmp_path, 4)
+    rows = stored_rows(spark, path)
+    monkeypatch.setattr(sink, "MOST_NAMES", 5)
+    assert compact_small_files(spark, path) == 4 * 6 and stored_rows(spark, path) == rows and len(table_files(tmp_path)) == 6
+
+
 def test_large_files_and_few_files_stay(spark, tmp_path):
     path = filled(spark, tmp_path, 3)
     before = table_files(tmp_path)
