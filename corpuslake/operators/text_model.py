@@ -29,14 +29,16 @@ def slot(term: Column) -> Column:
     return F.conv(F.substring(F.md5(term), 1, 3), 16, 10).cast("int")
 
 
-def letter_groups(text: Column | str) -> Column:
-    """Groups of two and three letters of each word, with a mark before and after it."""
-    def groups(w: Column) -> Column:
-        marked = F.concat(F.lit("_"), w, F.lit("_"))
-        cut = lambda n: F.transform(F.sequence(F.lit(1), F.length(w) + 3 - n), lambda i: F.substring(marked, i, F.lit(n)))
-        return F.concat(cut(2), cut(3))
+def word_groups(word: Column) -> Column:
+    """Groups of two and three letters of one word, with a mark before and after it."""
+    marked = F.concat(F.lit("_"), word, F.lit("_"))
+    cut = lambda n: F.regexp_extract_all(marked, F.lit(f"(?s)(?=({'.' * n}))."), F.lit(1))
+    return F.concat(cut(2), cut(3))
+
 
-    return F.flatten(F.transform(words(text), groups))
+def letter_groups(text: Column | str) -> Column:
+    """The letter groups of each word of a text."""
+    return F.flatten(F.transform(words(text), word_groups))
 
 
 def scores(texts: DataFrame, key: str, tokens: Column, classes: DataFrame, weights: DataFrame) -> DataFrame:
@@ -94,9 +96,15 @@ def bayes_scorer(labelled: DataFrame) -> Scorer:
 
 
 def language_profiles(texts: DataFrame, text: str = "content", language: str = "language", size: int = PROFILE) -> DataFrame:
-    """(language, token, rank): the commonest letter groups of each language, counted over all texts that name one."""
-    rows = texts.filter(F.col(language).isNotNull()).select(F.col(language).alias("language"), F.explode(letter_groups(text)).alias("token"))
-    counts = rows.groupBy("language", "token").agg(F.count(F.lit(1)).alias("n"))
+    """(language, token, rank): the commonest letter groups of each language, counted over all texts that name one.
+
+    Words are counted first, and each word of a language is cut into groups once, however often it occurs.
+    """
+    # The outer form: Spark splits each text a second time to test that the plain one finds a word.
+    rows = texts.filter(F.col(language).isNotNull()).select(F.col(language).alias("language"), F.explode_outer(words(text)).alias("word"))
+    found = rows.filter(F.col("word").isNotNull()).groupBy("language", "word").agg(F.count(F.lit(1)).alias("n"))
+    counts = found.select("language", "n", F.explode_outer(word_groups(F.col("word"))).alias("token"))
+    counts = counts.groupBy("language", "token").agg(F.sum("n").alias("n"))
     order = [F.col("n").desc(), F.col("token")]
     kept = top_n_per_key(counts, ["language"], order, size)
     ranked = kept.groupBy("language").agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "token"))).alias("all"))
@@ -121,5 +129,5 @@ def languages_by_profile(texts: DataFrame, profiles: DataFrame, key: str = "url"
 
 
 __all__ = [
-    "bayes_model", "bayes_scorer", "best", "language_profiles", "languages_by_profile", "letter_groups", "scores", "slot", "words",
+    "bayes_model", "bayes_scorer", "best", "language_profiles", "languages_by_profile", "letter_groups", "scores", "slot", "word_groups", "words",
 ]

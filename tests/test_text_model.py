@@ -70,3 +70,21 @@ def test_texts_without_letters_have_no_language(spark):
     assert got["1"] == "en" and got["3"] == got["4"] == "unknown"
     assert t.languages_by_profile(rows.limit(0), profiles).count() == 0
     assert {r["language"] for r in dicts(t.languages_by_profile(rows, profiles.limit(0)))} <= {"unknown"}
+
+
+def test_groups_of_letters_beyond_two_bytes(spark):
+    df = spark.createDataFrame([("𐌰𐌱 a𐌰",)], "x string")
+    assert df.select(t.letter_groups("x")).first()[0] == ["_𐌰", "𐌰𐌱", "𐌱_", "_𐌰𐌱", "𐌰𐌱_", "_a", "a𐌰", "𐌰_", "_a𐌰", "a𐌰_"]
+
+
+def test_profiles_cut_a_word_once(spark):
+    """Groups are cut from counted words, not from texts, and a text is split once."""
+    rows = spark.createDataFrame([("1", "en", "the cat"), ("2", "en", "the dog")], "url string, language string, content string")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    learned = plan(t.language_profiles(rows))
+    assert learned.index("regexp_extract_all") < learned.rindex("Aggregate [language") < learned.index("split(") and learned.count("split(") == 1
+
+
+def test_a_long_word_is_cut_in_linear_time(spark):
+    got = spark.range(1).select(F.size(t.letter_groups(F.repeat(F.lit("é"), F.lit(200_000)))).alias("n")).first()["n"]
+    assert got == 200_001 + 200_000
