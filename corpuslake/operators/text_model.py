@@ -6,6 +6,10 @@ weights of its tokens. Tokens are summed where they are split: what is shuffled
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +21,8 @@ from .ranking import top_n_per_key
 SLOTS = 4096
 #: Letter groups that a language's profile ranks.
 PROFILE = 400
+#: Texts that a task sums at once, and words whose sums it remembers.
+_SLICE, _KNOWN_WORDS = 256, 1 << 17
 
 
 def words(text: Column | str) -> Column:
@@ -111,21 +117,62 @@ def language_profiles(texts: DataFrame, text: str = "content", language: str = "
     return ranked.select("language", F.posexplode("all").alias("rank", "one")).select("language", F.col("one.token").alias("token"), "rank")
 
 
+def _near(weights_of):
+    """Sums of the weights of the letter groups of arrays of words, one number per class."""
+    @F.arrow_udf("array<double>")
+    def near(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        n_classes, weights = weights_of.value
+        nothing, known = np.zeros(n_classes), {}
+
+        def weigh(word: str) -> np.ndarray:
+            marked, total = f"_{word}_", nothing
+            for n in (2, 3):
+                for i in range(len(marked) - n + 1):
+                    more = weights.get(marked[i : i + n])
+                    total = total if more is None else total + more
+            return total
+
+        for batch in texts:
+            for at in range(0, max(1, len(batch)), _SLICE):
+                part = batch.slice(at, _SLICE)
+                spelled = part.flatten().dictionary_encode()
+                if len(known) > _KNOWN_WORDS:
+                    known.clear()
+                table = []
+                for word in spelled.dictionary.to_pylist():
+                    if (row := known.get(word)) is None:
+                        row = known[word] = weigh(word)
+                    table.append(row)
+                text = np.repeat(np.arange(len(part)), part.value_lengths().to_numpy(zero_copy_only=False))
+                place, found = spelled.indices.to_numpy(zero_copy_only=False), np.zeros((len(part), n_classes))
+                for k, column in enumerate(np.array(table).reshape(len(table), n_classes).T):
+                    found[:, k] = np.bincount(text, column[place], len(part))
+                ends = np.arange(len(part) + 1, dtype=np.int32) * n_classes
+                yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found.ravel(), pa.float64()))
+
+    return near.asNondeterministic()
+
+
 def languages_by_profile(texts: DataFrame, profiles: DataFrame, key: str = "url", text: str = "content", size: int = PROFILE) -> DataFrame:
     """(key, language): the language whose profile the text's letter groups are least out of place in.
 
     A group costs its rank in the profile, or ``size`` if it is not there; the language of the least sum wins. Texts without letters
-    are 'unknown'.
+    are 'unknown'. The profiles, ``size`` rows a language, go to the tasks by way of the driver; a task weighs a word once and sums
+    a text where it is split, so that one row per text and language is shuffled.
     """
-    classes = profiles.select(F.col("language").alias("class")).distinct().select("class", F.lit(0.0).alias("start"), F.lit(0.0).alias("per_token"))
-    # Costs less what a missing group costs, so that only groups in a profile need be summed.
-    weights = profiles.select("token", F.col("language").alias("class"), (F.lit(size) - F.col("rank")).cast("double").alias("weight"))
-    found = scores(texts, key, letter_groups(text), classes, weights)
-    named = best(found, key)
-    sure = found.groupBy(F.col(key).alias("_key")).agg(F.max("score").alias("most"))
-    return named.join(sure, F.col(key).eqNullSafe(F.col("_key"))).select(
-        key, F.when(F.col("most") > 0, F.col("class")).otherwise("unknown").alias("language")
-    )
+    ranks = profiles.select("language", "token", "rank").collect()
+    classes = sorted({r.language for r in ranks})
+    at, weights = {c: i for i, c in enumerate(classes)}, {}
+    for r in ranks:
+        # Costs less what a missing group costs, so that only groups in a profile need be summed.
+        weights.setdefault(r.token, np.zeros(len(classes)))[at[r.language]] += size - r.rank
+    shared = texts.sparkSession.sparkContext.broadcast((len(classes), weights))
+    found = texts.select(F.col(key).alias("key"), _near(shared)(words(text)).alias("near"))
+    summed = found.select("key", F.posexplode_outer("near").alias("class", "score")).groupBy("key", "class").agg(F.sum("score").alias("score"))
+    # Classes are numbered by name: of equal scores the first one wins.
+    first = summed.groupBy("key").agg(F.min(F.struct((-F.col("score")).alias("s"), "class")).alias("b"))
+    name = F.get(F.array(*[F.lit(c) for c in classes]).cast("array<string>"), F.col("b.class"))
+    return first.select(F.col("key").alias(key), F.when(F.col("b.s") < 0, name).otherwise("unknown").alias("language"))
 
 
 __all__ = [

@@ -77,6 +77,12 @@ def test_groups_of_letters_beyond_two_bytes(spark):
     assert df.select(t.letter_groups("x")).first()[0] == ["_𐌰", "𐌰𐌱", "𐌱_", "_𐌰𐌱", "𐌰𐌱_", "_a", "a𐌰", "𐌰_", "_a𐌰", "a𐌰_"]
 
 
+def test_texts_of_one_key_are_one_text(spark):
+    profiles = spark.createDataFrame([("fr", "le", 0), ("en", "the", 0), ("de", "der", 0)], "language string, token string, rank int")
+    rows = spark.createDataFrame([("1", "le"), ("1", "the the"), ("2", "the le"), (None, "der"), (None, "le der")], "url string, content string")
+    assert {r["url"]: r["language"] for r in dicts(t.languages_by_profile(rows, profiles))} == {"1": "en", "2": "en", None: "de"}
+
+
 def test_profiles_cut_a_word_once(spark):
     """Groups are cut from counted words, not from texts, and a text is split once."""
     rows = spark.createDataFrame([("1", "en", "the cat"), ("2", "en", "the dog")], "url string, language string, content string")
@@ -85,6 +91,12 @@ def test_profiles_cut_a_word_once(spark):
     assert learned.index("regexp_extract_all") < learned.rindex("Aggregate [language") < learned.index("split(") and learned.count("split(") == 1
 
 
+def test_texts_are_summed_where_they_are_split(spark):
+    rows = spark.createDataFrame([("1", "en", "the cat"), ("2", "en", "the dog")], "url string, language string, content string")
+    found = t.languages_by_profile(rows, t.language_profiles(rows))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in found and found.count("split(") == 1 and "Join" not in found
+
+
 def test_a_long_word_is_cut_in_linear_time(spark):
     got = spark.range(1).select(F.size(t.letter_groups(F.repeat(F.lit("é"), F.lit(200_000)))).alias("n")).first()["n"]
     assert got == 200_001 + 200_000
