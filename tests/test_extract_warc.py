@@ -1,9 +1,11 @@
 import gzip
 import io
 
+import pyarrow as pa
 from conftest import dicts
 from pyspark.sql import functions as F
 
+from corpuslake.functions import html_outline
 from corpuslake.functions.html_outline import outline
 from corpuslake.operators import classify, extract, metrics
 from corpuslake.operators.cdx import target_records
@@ -236,3 +238,12 @@ def test_a_filter_does_not_parse_pages_twice(spark):
     out = extract.accepted(extract.extract_pages(pages, "url", "html", F.lit(""))).filter("language = 'en'")
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_outlines_are_handed_on_in_slices(monkeypatch):
+    monkeypatch.setattr(html_outline, "SLICE", 10_000)
+    pages = [f"<title>{i}</title><p>{'x' * (i % 7)}</p>" for i in range(100)] + [None, ""]
+    for given in (pa.array(pages), pa.array([p if p is None else p.encode() for p in pages])):
+        parts = list(html_outline.outlines(iter([given, given[:0]])))
+        assert [tuple(r.values()) for p in parts for r in p.to_pylist()] == [tuple(outline(p)) for p in pages]
+        assert len(parts) > 5 and max(map(len, parts)) <= 10
