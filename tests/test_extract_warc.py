@@ -14,6 +14,7 @@ from corpuslake.plans.labelling import run_labelling
 from corpuslake.schemas import CLASSIFICATIONS
 from corpuslake.sources.cdx import scan_cdx
 from corpuslake.sources.tables import scan_articles, scan_classifications, scan_ledger_files, scan_ledger_pairs, scan_quarantine
+from corpuslake.sources import warc
 from corpuslake.sources.warc import read_ranges, scan_warc, unreadable
 from corpuslake.sources.warc_format import read_records
 
@@ -247,3 +248,11 @@ def test_outlines_are_handed_on_in_slices(monkeypatch):
         parts = list(html_outline.outlines(iter([given, given[:0]])))
         assert [tuple(r.values()) for p in parts for r in p.to_pylist()] == [tuple(outline(p)) for p in pages]
         assert len(parts) > 5 and max(map(len, parts)) <= 10
+
+
+def test_records_are_handed_on_in_slices():
+    """Records without a payload weigh something as well, and a large one goes alone."""
+    sizes = [0] * 20_000 + [9 << 20] + [100]
+    parts = list(warc._packs(("f", "response", "u", "", {}, "200", b"x" * n) for n in sizes))
+    assert [len(r[-1]) for p in parts for r in p] == sizes and max(map(len, parts)) <= 8192
+    assert all(sum(len(r[-1]) for r in p[:-1]) < 8 << 20 for p in parts)
