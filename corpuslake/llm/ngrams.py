@@ -118,6 +118,22 @@ class Model:
                 out[rest] = weight + self.log_prob(left & np.uint32((1 << 8 * (order - 1)) - 1), order - 1)
         return out
 
+    def known(self, packed: np.ndarray) -> tuple[float, np.ndarray]:
+        """Sum of the log probabilities, and the grams that have none here."""
+        return float(self.log_prob(packed).sum()), packed[:0]
+
+
+class Part:
+    """Log probabilities of some grams of a model that has more than a task holds; ``number`` names the model in its tables."""
+
+    def __init__(self, number: int, packed: np.ndarray, log_p: np.ndarray) -> None:
+        self.number, self.tables = number, [HashArray(packed, log_p)]
+
+    def known(self, packed: np.ndarray) -> tuple[float, np.ndarray]:
+        """As of ``Model``."""
+        found, value = self.tables[0].find(packed)
+        return float(value[found].sum(dtype=float)), packed[~found]
+
 
 def lower_counts(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(gram without its first byte, number of different first bytes) of different grams of ORDER 4 or less."""

@@ -10,14 +10,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import ngrams
+from . import gram_tables, ngrams
 from .columns import without
 from .components import staged
 from .tasks import utf8
 
 #: Languages with a model of their own, those with most text; all others share one. Names the shared one has.
 LANGUAGES, OTHERS = 31, "other languages"
-#: Grams of all models together: the commonest of each. A bound on what a task holds, whatever the corpus.
+#: Grams that a task holds of all models together, whatever the corpus. Of more, the commonest of each model are held with their
+#: probabilities; all others are looked up in tables.
 MOST_GRAMS = 1 << 21
 #: A band ends so many standard deviations from its language's median.
 WIDTH = 3.5
@@ -36,16 +37,33 @@ BEGINS = (np.arange(256) & 0xC0) != 0x80
 SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
 
 
-def log_sum(model: ngrams.Model | None, text: bytes) -> float | None:
-    """Log probability of a text; NULL for an empty one, or without a model."""
+NO_GRAMS = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+
+def log_sum(model: ngrams.Model | ngrams.Part | None, text: bytes) -> tuple[float | None, tuple[np.ndarray, np.ndarray]]:
+    """Log probability of a text, NULL for an empty one or without a model; and the (grams, times each) that it leaves out
+    because the model lacks them here."""
     if model is None or not text:
-        return None
+        return None, NO_GRAMS
     packed = ngrams.grams(text)
-    return float(sum(model.log_prob(packed[at : at + (1 << 20)]).sum() for at in range(0, len(packed), 1 << 20)))
+    sums, rest = zip(*(model.known(packed[at : at + (1 << 20)]) for at in range(0, len(packed), 1 << 20)), strict=True)
+    return float(sum(sums)), np.unique(np.concatenate(rest), return_counts=True) if any(map(len, rest)) else NO_GRAMS
+
+
+ASKED = "model:int,asked:array<struct<gram:long,n:long>>"
+
+
+def _asked(models: Sequence[ngrams.Model | ngrams.Part | None], asked: Sequence[tuple[np.ndarray, np.ndarray]]) -> list[pa.Array]:
+    """The fields ASKED."""
+    ends = np.cumsum([0, *(len(g) for g, _ in asked)]).astype(np.int32)
+    columns = [pa.array(np.concatenate([NO_GRAMS[k], *(x[k] for x in asked)]).astype(np.int64)) for k in (0, 1)]
+    each = pa.StructArray.from_arrays(columns, names=["gram", "n"])
+    return [pa.array([getattr(m, "number", None) for m in models], pa.int32()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), each)]
 
 
 def _counted(batches, first=None):
-    """(lang, half, gram, n) of the texts that are learned from; ``first`` has models and bands that they are held against."""
+    """(lang, half, gram, n) of the texts that are learned from; ``first`` has models and bands that they are held against. Texts
+    with grams that these models lack here are left to the tables."""
     models, found = first.value if first is not None else ({}, {})
     sums: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
     waiting: dict[tuple, list[np.ndarray]] = {}
@@ -76,7 +94,9 @@ def _counted(batches, first=None):
                 continue
             if lang in found:
                 middle, a, b = found[lang]
-                total = log_sum(models.get((lang, 1 - half)), text)
+                total, (rest, _) = log_sum(models.get((lang, 1 - half)), text)
+                if len(rest):
+                    continue
                 if total is not None and abs(-total / len(text) - middle) > LEARN_WIDTH * (a + b / len(text)) ** 0.5:
                     continue
             waiting.setdefault((lang, half), []).append(ngrams.grams(text))
@@ -90,45 +110,63 @@ def _counted(batches, first=None):
     yield from flush()
 
 
-def fit(rows: DataFrame, first=None) -> tuple[list[str], dict[tuple[str, int], ngrams.Model]]:
-    """Languages with a model of their own, and a model per language and half, from (lang, half, text).
+def _count(rows: DataFrame, first=None) -> DataFrame:
+    return rows.mapInArrow(lambda batches: _counted(batches, first), "lang string, half int, gram long, n long")
+
+
+def learned(
+    counted: DataFrame, own: list[str] | None = None
+) -> tuple[list[str], dict[tuple[str, int], ngrams.Model | ngrams.Part], gram_tables.Tables | None]:
+    """Languages with a model of their own (``own`` if given), a model per language and half, and their tables if they hold more than
+    MOST_GRAMS grams, from (lang, half, gram, n) with repetitions.
 
     Grams are counted over all texts in Spark. At most LANGUAGES names, a count of counts per model, and MOST_GRAMS grams come to the driver.
     """
-    counted = rows.mapInArrow(lambda batches: _counted(batches, first), "lang string, half int, gram long, n long")
     table = staged(counted, "grams")
     order = [F.col("n").desc(), "lang"]
-    own = [r.lang for r in table.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(*order).limit(LANGUAGES).collect()]
+    if own is None:
+        own = [r.lang for r in table.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(*order).limit(LANGUAGES).collect()]
     pooled = F.when(F.col("lang").isin(own), F.col("lang")).otherwise(F.lit(OTHERS))
     table = staged(table.groupBy(pooled.alias("lang"), "half", "gram").agg(F.sum("n").alias("n")), "counts")
     level = F.floor(F.log2("n") * 8)
     levels: dict[tuple, list] = {}
     for r in table.groupBy("lang", "half", level.alias("level")).count().collect():
         levels.setdefault((r.lang, r.half), []).append((r.level, r["count"]))
-    room = MOST_GRAMS // max(1, len(levels))
-    least = {}
-    for key, found in levels.items():
-        sums, least[key] = 0, 1 << 30
-        for at, n in sorted(found, reverse=True):
-            sums += n
-            if sums > room:
-                break
-            least[key] = at
-    if not least:
-        return own, {}
+    if not levels:
+        return own, {}, None
     # Models go by number, so that what comes to the driver is numbers alone.
-    keys, which, from_level = sorted(least), F.lit(-1), F.lit(1 << 30)
+    keys, which = sorted(levels), F.lit(-1)
     for k, (lang, half) in enumerate(keys):
-        same = (F.col("lang") == lang) & (F.col("half") == half)
-        which, from_level = F.when(same, k).otherwise(which), F.when(same, least[lang, half]).otherwise(from_level)
-    found = table.filter(level >= from_level).select(which.alias("model"), "gram", "n").toArrow()
-    number, packed, counts = (found.column(i).to_numpy() for i in range(3))
-    models = {}
+        which = F.when((F.col("lang") == lang) & (F.col("half") == half), k).otherwise(which)
+    table = table.select(which.alias("model"), "gram", "n")
+    whole = None
+    if sum(n for found in levels.values() for _, n in found) <= MOST_GRAMS:
+        found = table
+    else:
+        whole, from_level = gram_tables.tables(table), F.lit(1 << 30)
+        for k, key in enumerate(keys):
+            sums, least = 0, 1 << 30
+            for at, n in sorted(levels[key], reverse=True):
+                sums += n
+                if sums > MOST_GRAMS // len(keys):
+                    break
+                least = at
+            from_level = F.when(F.col("model") == k, least).otherwise(from_level)
+        found = whole.grams[-1].filter(level >= from_level).select("model", "gram", "log_p")
+    found = found.toArrow()
+    number, packed, values = (found.column(i).to_numpy() for i in range(3))
+    models: dict[tuple[str, int], ngrams.Model | ngrams.Part] = {}
     for k, key in enumerate(keys):
-        own_grams, own_counts = packed[number == k].astype(np.uint32), counts[number == k]
+        own_grams, own_values = packed[number == k].astype(np.uint32), values[number == k]
         order = np.argsort(own_grams)
-        models[key] = ngrams.Model(ngrams.all_orders(own_grams[order], own_counts[order]))
-    return own, models
+        own_grams, own_values = own_grams[order], own_values[order]
+        models[key] = ngrams.Model(ngrams.all_orders(own_grams, own_values)) if whole is None else ngrams.Part(k, own_grams, own_values)
+    return own, models, whole
+
+
+def fit(rows: DataFrame) -> tuple[list[str], dict[tuple[str, int], ngrams.Model | ngrams.Part]]:
+    """What tasks hold of the models learned from all of (lang, half, text)."""
+    return learned(_count(rows))[:2]
 
 
 def repeated_words(words: Sequence[bytes], window: int = WINDOW) -> int:
@@ -150,7 +188,7 @@ def dup_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-MEASURES = "struct<n_words:long,word_chars:long,n_symbols:long,n_dup_lines:long,n_repeat_words:long,n_grams:long,log_sum:double>"
+MEASURES = "struct<n_words:long,word_chars:long,n_symbols:long,n_dup_lines:long,n_repeat_words:long,n_grams:long,log_sum:double," + ASKED + ">"
 
 
 def _measured(models_of):
@@ -158,32 +196,34 @@ def _measured(models_of):
     def measure(texts: pa.Array, langs: pa.Array, halves: pa.Array) -> pa.Array:
         models = models_of.value
         out: list[list] = [[] for _ in range(7)]
-        for text, lang, half in zip(utf8(texts), langs.to_pylist(), halves.to_pylist(), strict=True):
+        own, asked = [models.get((lang, 1 - half)) for lang, half in zip(langs.to_pylist(), halves.to_pylist(), strict=True)], []
+        for text, model in zip(utf8(texts), own, strict=True):
             raw = np.frombuffer(text, np.uint8)
             words = text.split()
             # Texts of the other half made the model; copies of this one did not.
-            total = log_sum(models.get((lang, 1 - half)), text)
+            total, rest = log_sum(model, text)
+            asked.append(rest)
             row = (
                 len(words), int((BEGINS & ~SPACE)[raw].sum()), int(SYMBOL[raw].sum()), dup_lines(text),
                 repeated_words(words), len(raw), total,
             )
             for column, value in zip(out, row, strict=True):
                 column.append(value)
-        names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_grams", "log_sum"]
+        names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_grams", "log_sum", "model", "asked"]
         kinds = [pa.int64()] * 6 + [pa.float64()]
-        return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=names)
+        return pa.StructArray.from_arrays([*(pa.array(c, k) for c, k in zip(out, kinds, strict=True)), *_asked(own, asked)], names=names)
 
     return measure.asNondeterministic()
 
 
 def _scored(models_of):
-    @F.arrow_udf("double")
+    @F.arrow_udf("struct<log_sum:double," + ASKED + ">")
     def score(texts: pa.Array, langs: pa.Array, halves: pa.Array) -> pa.Array:
-        models, out = models_of.value, []
-        for text, lang, half in zip(utf8(texts), langs.to_pylist(), halves.to_pylist(), strict=True):
-            total = log_sum(models.get((lang, 1 - half)), text)
-            out.append(None if total is None else -total / len(text))
-        return pa.array(out, pa.float64())
+        models = models_of.value
+        own = [models.get((lang, 1 - half)) for lang, half in zip(langs.to_pylist(), halves.to_pylist(), strict=True)]
+        out = [log_sum(model, text) for model, text in zip(own, utf8(texts), strict=True)]
+        sums = pa.array([total for total, _ in out], pa.float64())
+        return pa.StructArray.from_arrays([sums, *_asked(own, [rest for _, rest in out])], names=["log_sum", "model", "asked"])
 
     return score.asNondeterministic()
 
@@ -258,16 +298,33 @@ def rate(
         "__half": F.pmod(F.xxhash64(text_col), F.lit(2)).cast("int"),
     })
     plain = lambda: rows.select(F.col("__lang").alias("lang"), F.col("__half").alias("half"), F.col("__text").alias("text"))
-    own, models = fit(plain())
+    own, models, whole = learned(_count(plain()))
     rows = rows.withColumn("__lang", F.when(F.col("__lang").isin(own), F.col("__lang")).otherwise(F.lit(OTHERS)))
     model = spark.sparkContext.broadcast(models)
-    scores = plain().select("lang", _scored(model)("text", "lang", "half").alias("log_perplexity"), F.octet_length("text").cast("long").alias("n_grams"))
-    scores = staged(scores.withColumn("base_failed", F.lit(False)), "scores")
-    _, models = fit(plain(), spark.sparkContext.broadcast((models, bands(scores))))
+    scores = plain().withColumns({"id": F.monotonically_increasing_id(), "s": _scored(model)("text", "lang", "half")})
+    waits = F.when(F.size("s.asked") > 0, F.col("text")).alias("text")
+    scores = staged(scores.select("id", "lang", "half", F.octet_length("text").cast("long").alias("n_grams"), "s.*", waits), "scores")
+    if whole is not None:
+        scores = staged(gram_tables.completed(scores, whole), "scores")
+    mean = F.when(F.col("n_grams") > 0, -F.col("log_sum") / F.col("n_grams"))
+    scores = scores.withColumns({"log_perplexity": mean, "base_failed": F.lit(False)})
+    found = bands(scores)
+    counted = _count(plain(), spark.sparkContext.broadcast((models, found)))
+    if whole is not None:
+        # These the tasks could not judge by what they hold.
+        near = F.coalesce(inside(found, F.col("lang"), F.col("log_perplexity"), F.col("n_grams"), LEARN_WIDTH), F.lit(True))
+        counted = counted.unionByName(_count(scores.filter(F.col("text").isNotNull() & F.col("lang").isin(list(found)) & near).select("lang", "half", "text")))
+    _, models, whole = learned(counted, own)
     model = spark.sparkContext.broadcast(models)
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in NAMES]
-    measured = rows.withColumn("__m", _measured(model)(F.col("__text"), F.col("__lang"), F.col("__half")))
-    measured = staged(measured.select(*[F.col(f"`{c}`") for c in kept], "__lang", "__m"), "measured")
+    measured = rows.withColumns({"__id": F.monotonically_increasing_id(), "__m": _measured(model)(F.col("__text"), F.col("__lang"), F.col("__half"))})
+    measured = staged(measured.select(*[F.col(f"`{c}`") for c in kept], "__lang", "__id", "__m"), "measured")
+    if whole is not None:
+        asking = measured.select(F.col("__id").alias("id"), F.col("__m.log_sum").alias("log_sum"), F.col("__m.model").alias("model"), F.col("__m.asked").alias("asked"))
+        told = gram_tables.completed(asking.filter(F.size("asked") > 0), whole).select(F.col("id").alias("__id"), F.col("log_sum").alias("__told"))
+        known = measured.filter(F.coalesce(F.size("__m.asked"), F.lit(0)) <= 0).withColumn("__told", F.col("__m.log_sum"))
+        measured = staged(known.unionByName(measured.filter(F.size("__m.asked") > 0).join(told, "__id")), "told")
+        measured = measured.withColumn("__m", F.col("__m").withField("log_sum", F.col("__told")))
     failed = (F.col("__m.n_words") < LEAST_WORDS) | (100 * F.col("__m.n_repeat_words") > MOST_REPEATED * F.col("__m.n_words"))
     mean = F.when(F.col("__m.n_grams") > 0, -F.col("__m.log_sum") / F.col("__m.n_grams"))
     measured = without(measured, NAMES).withColumns({"log_perplexity": mean, "base_failed": failed})

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpuslake.llm import ngrams, quality
+from corpuslake.llm import gram_tables, ngrams, quality
 
 DATA, SMALL = "/root/testdata/sf0.1", "/root/testdata/sf0.01"
 
@@ -149,3 +149,32 @@ def test_many_languages_share_a_model(spark, monkeypatch):
     assert len(own) == 2 and {k for k, _ in models} == {*own, quality.OTHERS}
     assert sum(len(m.tables[-1].hashes) for m in models.values()) <= 400
     assert quality.rate(docs).count() == docs.count()
+
+
+def test_grams_beyond_the_bound_count_as_in_the_whole_model(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    want = {r.doc_id: r for r in quality.rate(docs, keep=["doc_id"]).collect()}
+    monkeypatch.setattr(quality, "MOST_GRAMS", 20_000)
+    got = {r.doc_id: r for r in quality.rate(docs, keep=["doc_id"]).collect()}
+    assert got.keys() == want.keys()
+    for i, r in want.items():
+        assert got[i].log_perplexity == (None if r.log_perplexity is None else pytest.approx(r.log_perplexity, abs=1e-5))
+    assert [got[i].kept for i in sorted(got)] == [want[i].kept for i in sorted(want)]
+
+
+def test_tables_are_modified_kneser_ney(spark):
+    top, n = np.unique(np.concatenate([ngrams.grams(t) for t in TEXTS]), return_counts=True)
+    rows = [(k, int(g), int(c)) for k in (0, 1) for g, c in zip(top, n * (k + 1), strict=True)]
+    found = gram_tables.tables(spark.createDataFrame(rows, "model int, gram long, n long"))
+    asked = np.unique(np.concatenate([ngrams.grams(t) for t in [*TEXTS, b"the cat is new 99 \xff\xfe", b"zzz qqq"]]))
+    out = gram_tables.log_probs(spark.createDataFrame([(0, int(g)) for g in asked], "model int, gram long"), found)
+    plain = Plain(TEXTS)
+    assert {r.gram: r.log_p for r in out.collect()} == {
+        int(g): pytest.approx(math.log(plain.p(tuple(int(g).to_bytes(4, "big"))))) for g in asked
+    }
+
+
+def test_every_language_has_a_model_to_judge_it(spark, monkeypatch):
+    monkeypatch.setattr(quality, "LANGUAGES", 2)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", (F.col("doc_id") % 10).cast("string").alias("lang"))
+    assert quality.rate(docs).filter("octet_length(text) > 0 AND log_perplexity IS NULL").count() == 0
