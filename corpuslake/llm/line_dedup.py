@@ -149,13 +149,14 @@ def _earlier(a: str, b: str) -> Column:
     return F.coalesce(k < m, k.isNull() & m.isNotNull()) | same
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Lines ``b`` (vid) for which a pair (a, b) of lines, of which there are no two alike, really matches. The documents are
-    read once more; only lines that may be in a pair are moved. A line is held against one other first, and against
-    all others of its pairs only if these two don't match."""
-    pairs = staged(pairs, "pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("vid"))
-    lines = 2 * pairs.count()
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Lines ``b`` (lid) for which a pair (a, b) of lines really matches. The documents are read once more; only lines
+    that may be in a pair are moved. A line is held against one other first, and against all others of its pairs only
+    if these two don't match."""
+    pairs = staged(pairs.distinct(), "pairs")
+    ends = pairs.select(F.col("a").alias("lid")).distinct().unionByName(pairs.select(F.col("b").alias("lid")).distinct()).distinct()
+    ends = staged(ends.join(classes.select("lid", "vid"), "lid"), "ends")
+    lines = ends.count()
     bits = FILTER_BITS[0]
     while bits < FILTER_BITS[1] and bits < FILTER_EACH * lines:
         bits *= 2
@@ -164,18 +165,20 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     plain = docs.select(F.xxhash64("key", "text").alias("did"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     plain = plain.select("line", F.xxhash64("did", "line_no").alias("vid")).filter(maybe)
     # Lines move as text, which is shorter than their words apart.
-    few = staged(plain.select("vid", "line").dropDuplicates(["vid"]), "few")
+    few = staged(plain.select("vid", "line").dropDuplicates(["vid"]).join(ends, "vid").select("lid", "line"), "few")
 
     def matching(some: DataFrame) -> DataFrame:
-        left, right = (few.select(F.col("vid").alias(c), F.col("line").alias(f"{c}_line")) for c in "ab")
+        left, right = (few.select(F.col("lid").alias(c), F.col("line").alias(f"{c}_line")) for c in "ab")
         sets = [words_of(_spaced(F.col(f"{c}_line"))).alias(f"{c}_set") for c in "ab"]
-        both = F.size(F.array_intersect("a_set", "b_set"))
-        match = both * (NUM + DEN) >= (F.size("a_set") + F.size("b_set")) * NUM
-        return some.join(left, "a").join(right, "b").select("b", *sets).filter(match).select(F.col("b").alias("vid")).distinct()
+        both = F.size(F.array_intersect("s.a_set", "s.b_set"))
+        match = both * (NUM + DEN) >= (F.size("s.a_set") + F.size("s.b_set")) * NUM
+        # The generator keeps the filter from splitting the lines again.
+        held = some.join(left, "a").join(right, "b").select("b", F.explode(F.array(F.struct(*sets))).alias("s"))
+        return held.filter(match).select(F.col("b").alias("lid")).distinct()
 
     one = pairs.groupBy("b").agg(F.min("a").alias("a"))
     found = staged(matching(one), "found")
-    rest = pairs.join(found.select(F.col("vid").alias("b")), "b", "left_anti").join(one, ["a", "b"], "left_anti")
+    rest = pairs.join(found.select(F.col("lid").alias("b")), "b", "left_anti").join(one, ["a", "b"], "left_anti")
     return found.unionByName(matching(rest))
 
 
@@ -183,21 +186,15 @@ def _named(rows: DataFrame, name: str) -> DataFrame:
     return rows.select(*[F.col(c).alias(f"{name}_{c}") for c in rows.columns])
 
 
-def _by_name(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of lines (x_lid, y_lid) as (a, b) by name, the earlier one first; b must be open where that is known."""
-    own = classes.select("lid", "key", "vid", *(["open"] if "open" in classes.columns else []))
-    both = pairs.select("x_lid", "y_lid").distinct().join(_named(own, "x"), "x_lid").join(_named(own, "y"), "y_lid")
+def _in_order(pairs: DataFrame) -> DataFrame:
+    """Pairs of lines x and y as (a, b) by lid, the earlier one first; b must be open, that is, have a size over 0."""
     later = _earlier("x", "y")
-    out = both.select(
-        F.when(later, F.col("x_vid")).otherwise(F.col("y_vid")).alias("a"),
-        F.when(later, F.col("y_vid")).otherwise(F.col("x_vid")).alias("b"),
-        (F.when(later, F.col("y_open")).otherwise(F.col("x_open")) if "open" in classes.columns else F.lit(True)).alias("open"),
-    )
-    return out.filter("open").select("a", "b")
+    either = lambda c, yes, no: F.when(later, F.col(f"{yes}_{c}")).otherwise(F.col(f"{no}_{c}"))
+    return pairs.filter(either("m", "y", "x") > 0).select(either("lid", "x", "y").alias("a"), either("lid", "y", "x").alias("b"))
 
 
 def matched(classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Names (vid) of the classes (first lines of equal word sets) that match an earlier class."""
+    """Names (lid) of the classes (first lines of equal word sets) that match an earlier class."""
     # Lines under four words match nothing but equal sets.
     classes = classes.filter("n >= 4")
     crowded = _crowded(classes)
@@ -209,11 +206,11 @@ def matched(classes: DataFrame, docs: DataFrame) -> DataFrame:
         lead = F.slice(F.sort_array(F.filter("prefix", crowded)), 1, LEADS)
         led = classes.select("lid", "key", F.col("n").alias("m"), "b1", "b2", F.explode(lead).alias("word"))
         first = led.groupBy("word").agg(F.min(F.struct("key", "lid", "m", "b1", "b2")).alias("x"), F.count(F.lit(1)).alias("c"))
-        first = first.filter("c > 1").select("word", *[F.col(f"x.{c}").alias(f"x_{c}") for c in ("lid", "m", "b1", "b2")])
+        first = first.filter("c > 1").select("word", *[F.col(f"x.{c}").alias(f"x_{c}") for c in ("key", "lid", "m", "b1", "b2")])
         near = _named(led, "y").join(first, F.col("y_word") == F.col("word"))
         near = near.filter((F.col("x_lid") != F.col("y_lid")) & _alike("x", "y"))
-        done = staged(verified(_by_name(near, classes), docs), "done")
-        open_ = classes.join(done.withColumn("found", F.lit(True)), "vid", "left").withColumn("open", F.col("found").isNull())
+        done = staged(verified(_in_order(near), classes, docs), "done")
+        open_ = classes.join(done.withColumn("found", F.lit(True)), "lid", "left").withColumn("open", F.col("found").isNull())
         open_ = open_.drop("found")
     # Then all lines that share a prefix word, if one of the two is still open; lines that are done have a negative size
     # here. Lines meet by octaves of their size: x, the longer one, in its own, y in its own and, where longer lines may match it
@@ -223,13 +220,13 @@ def matched(classes: DataFrame, docs: DataFrame) -> DataFrame:
     octave = lambda c: F.length(F.bin(c))
     size = F.when(F.col("open"), n).otherwise(-n)
     rows = open_.select(
-        "lid", size.alias("m"), "b1", "b2", index_size(n).alias("few"), octave(n).alias("octave"),
+        "lid", "key", size.alias("m"), "b1", "b2", index_size(n).alias("few"), octave(n).alias("octave"),
         octave(F.floor(n * DEN / NUM)).alias("upto"), F.posexplode("prefix").alias("pos", "word"),
     )
     twice = (F.col("upto") > F.col("octave")) & (F.col("pos") < F.col("few"))
     rows = rows.withColumn("next", F.explode(F.when(twice, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     rows = rows.select(
-        "lid", "m", "b1", "b2", F.hash("word", F.col("octave") + F.col("next")).alias("word"),
+        "lid", "key", "m", "b1", "b2", F.hash("word", F.col("octave") + F.col("next")).alias("word"),
         F.when(F.col("next") == 1, -1 - F.col("pos")).otherwise(F.col("pos")).alias("pos"),
     )
     x, y = _named(rows, "x"), _named(rows, "y")
@@ -242,7 +239,7 @@ def matched(classes: DataFrame, docs: DataFrame) -> DataFrame:
         & (F.least(n["x"] - F.col("x_pos"), n["y"] - y_pos) >= shared(n["x"], n["y"]))
         & (F.least("x_pos", y_pos) >= 0) & (F.greatest("x_m", "y_m") > 0) & _alike("x", "y"),
     )
-    found = verified(_by_name(found, open_), docs)
+    found = verified(_in_order(found), classes, docs)
     return found if done is None else done.unionByName(found)
 
 
@@ -270,7 +267,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", with_t
     lines = staged(line_table(rows, with_text), "lines")
     classes = lines.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min(F.struct("key", "lid", "vid", "b1", "b2", "prefix")).alias("f"))
     classes = staged(classes.select("n", "f.*"), "classes")
-    kept = classes.select("lid", "vid").join(matched(classes, rows), "vid", "left_anti")
+    kept = classes.select("lid").join(matched(classes, rows), "lid", "left_anti")
     judged = lines.join(kept.select("lid", F.lit(True).alias("first")), "lid", "left")
     stays = F.col("first").isNotNull() | (F.col("n") == 0)
     of_doc = judged.groupBy("rid", "key").agg(
